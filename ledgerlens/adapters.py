@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .session import scratch_path, use_utc
+from .streaming.messages import encode
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,3 +75,58 @@ def raw_files(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "daily-text")
     raw_lines(transactions(spark, sf_dir)).write.partitionBy("day").text(path)
     return path
+
+
+def broken_messages(tx: DataFrame) -> DataFrame:
+    """Transactions as JSON lines in ``value``, some of them unusable.
+
+    The defects depend on the id: cut off, a time with a fraction, no id.
+    """
+    n = F.col("transaction_id")
+    text = encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
+    value = F.col("value")
+    return text.select(
+        F.when(n % 67 == 0, F.expr("substring(value, 1, length(value) - 5)"))
+        .when(n % 71 == 0, F.regexp_replace(value, r'("tx_datetime":"[^"]*)"', '$1.250"'))
+        .when(n % 73 == 0, F.regexp_replace(value, r'"transaction_id":\d+,', ""))
+        .otherwise(value)
+        .alias("value")
+    )
+
+
+def message_files(spark: SparkSession, messages: DataFrame) -> str:
+    """Write messages as text files; returns the path."""
+    path = scratch_path(spark, "messages")
+    messages.write.text(path)
+    return path
+
+
+def rule_scores(tx: DataFrame, threshold: float) -> DataFrame:
+    """A model that can be written in SQL: amounts above ``threshold`` are fraud."""
+    return tx.withColumn("prediction", (F.col("tx_amount") > threshold).cast("double"))
+
+
+def daily_runs(tx: DataFrame) -> DataFrame:
+    """A run registry: each terminal is an experiment, each of its days a run with the mean amount."""
+    return (
+        tx.groupBy(F.col("terminal_id").cast("string").alias("experiment"), F.to_date("tx_datetime").alias("day"))
+        .agg(F.min("tx_datetime").alias("start_time"), F.avg("tx_amount").alias("mean"), F.stddev_pop("tx_amount").alias("std"))
+        .selectExpr(
+            "experiment", "cast(day as string) as run_id", "start_time", "'amount' as metric",
+            "stack(2, 'mean', mean, 'std', std) as (stat, value)",
+        )
+    )
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` with ``orders`` as transactions on day-level times: equal times are the rule."""
+    use_utc(spark)
+    lines, orders = spark.read.parquet(f"{sf_dir}/lineitem.parquet"), spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("transaction_id"),
+        F.col("l_shipdate").cast("timestamp").alias("tx_datetime"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("l_suppkey").alias("terminal_id"),
+        F.col("l_extendedprice").alias("tx_amount"),
+        (F.col("l_returnflag") == "R").cast("int").alias("tx_fraud"),
+    )

@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Abramowitz & Stegun, formula 7.1.26 (absolute error of erf below 1.5e-7).
-_P = 0.3275911
-_A = (0.254829592, -0.284496736, 1.421413741, -1.453152027, 1.061405429)
+_TERMS = 80
+_TAIL_FROM = 2.5
+
 
+def erfc(x: Column) -> Column:
+    """1 - erf(x) for x >= 0, to double precision.
 
-def erfc_positive(x: Column) -> Column:
-    """1 - erf(x) for x >= 0."""
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(_P) * x)
-    poly = F.lit(0.0)
-    for a in reversed(_A):
-        poly = (poly + F.lit(a)) * t
-    return poly * F.exp(-x * x)
+    A power series with positive terms near 0, a continued fraction in the tail; both are evaluated
+    from the innermost term outwards.
+    """
+    xx = x * x
+    steps = F.sequence(F.lit(_TERMS), F.lit(1), F.lit(-1))
+    series = F.aggregate(steps, F.lit(1.0), lambda acc, k: F.lit(1.0) + acc * F.lit(2.0) * xx / (F.lit(2.0) * k + 1))
+    fraction = F.aggregate(steps, F.lit(1.0), lambda acc, k: F.lit(1.0) + k / (F.lit(2.0) * xx) / acc)
+    gauss = F.exp(-xx)
+    return F.when(x < _TAIL_FROM, F.lit(1.0) - F.lit(2.0 / math.sqrt(math.pi)) * x * gauss * series).when(
+        x >= _TAIL_FROM, gauss / (x * F.lit(math.sqrt(math.pi)) * fraction)
+    )
 
 
 def normal_cdf(x: Column) -> Column:
-    upper = erfc_positive(F.abs(x) / F.lit(2.0**0.5)) / F.lit(2.0)
-    return F.when(x >= 0, F.lit(1.0) - upper).otherwise(upper)
+    upper = erfc(F.abs(x) / F.lit(math.sqrt(2.0))) / F.lit(2.0)
+    return F.when(x >= 0, F.lit(1.0) - upper).when(x < 0, upper)
 
 
 def two_sided_p(z: Column) -> Column:
     """2 * (1 - cdf(|z|)), computed from the tail so that it does not cancel."""
-    return erfc_positive(F.abs(z) / F.lit(2.0**0.5))
+    return erfc(F.abs(z) / F.lit(math.sqrt(2.0)))
