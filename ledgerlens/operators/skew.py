@@ -3,13 +3,12 @@
 A key is hot above ``max(hot_rows, rows / max_hot_keys)`` rows, so there are never more than
 ``max_hot_keys`` of them, whatever the data: the list is small enough to broadcast by arithmetic,
 not by luck. Counting is exact and map-side combined, reads the key columns only, and gives the
-same list on every retry.
+same list on every retry. NULL is never hot: cleaned transactions have no NULL keys.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,26 +27,31 @@ class HotKeys:
 DEFAULT = HotKeys()
 
 
-def _same_key(df: DataFrame, hot: DataFrame, keys: list[str]) -> Column:
-    """NULL counts as a key value, as it does in ``groupBy`` and in windows."""
-    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(hot[f"_hot_{k}"]) for k in keys])
+def quoted(keys: list[str]) -> str:
+    return ", ".join(f"`{k}`" for k in keys)
 
 
 def hot_keys(df: DataFrame, keys: list[str], policy: HotKeys = DEFAULT) -> DataFrame:
-    """At most ``policy.max_hot_keys`` rows of ``keys``."""
-    rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter((F.col("_rows") > policy.hot_rows) & (F.col("_rows") > rows / F.lit(policy.max_hot_keys)))
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    """At most ``policy.max_hot_keys`` rows, with the keys named ``_hot_<key>``."""
+    rows = df.agg(F.expr("count(*)")).scalar()
+    counts = df.dropna(subset=keys).groupBy(*keys).agg(F.expr("count(*) as _rows"))
+    return counts.filter((F.col("_rows") > policy.hot_rows) & (F.col("_rows") * policy.max_hot_keys > rows)).selectExpr(
+        *[f"`{k}` as `_hot_{k}`" for k in keys]
     )
 
 
+def same_key(keys: list[str], prefix: str = "_hot_") -> Column:
+    """Join condition between ``key`` and ``<prefix>key``."""
+    return F.expr(" and ".join(f"`{k}` = `{prefix}{k}`" for k in keys))
+
+
 def flag_hot(df: DataFrame, keys: list[str], policy: HotKeys, source: DataFrame | None = None) -> DataFrame:
-    """Add ``_is_hot``. ``source`` is the frame ``df`` was derived from, cheaper to count in."""
-    hot = F.broadcast(hot_keys(df if source is None else source, keys, policy).withColumn("_is_hot", F.lit(True)))
-    return df.join(hot, _same_key(df, hot, keys), "left").select(*df.columns, F.coalesce("_is_hot", F.lit(False)).alias("_is_hot"))
+    """Add ``_is_hot``: true, or NULL for ordinary keys.
+
+    ``source`` is the frame ``df`` was derived from, cheaper to count in.
+    """
+    hot = hot_keys(df if source is None else source, keys, policy).selectExpr("*", "true as _is_hot")
+    return df.join(F.broadcast(hot), same_key(keys), "left").drop(*[f"_hot_{k}" for k in keys])
 
 
 def split_hot(
@@ -58,5 +62,4 @@ def split_hot(
     With no hot key the second frame is an empty join that adaptive execution drops.
     """
     hot = F.broadcast(hot_keys(df if source is None else source, keys, policy))
-    match = _same_key(df, hot, keys)
-    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
+    return df.join(hot, same_key(keys), "left_anti"), df.join(hot, same_key(keys), "left_semi")

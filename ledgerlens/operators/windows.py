@@ -7,21 +7,18 @@ earlier frauds are row-wise, so ``transaction_id`` breaks their ties.
 A window puts the whole history of a key in one task. For the keys that are too large for that
 (see ``skew``), the history is cut into time slices; the windows run inside a slice, and the
 totals of all earlier slices, pre-aggregated before their shuffle, are added afterwards. The
-result is the same, since equal times share a slice.
+result is the same, since equal times share a slice. Without hot keys, adaptive execution drops
+all of this and the plain window remains.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.temporal import seconds_between
-from .skew import DEFAULT, HotKeys, flag_hot, split_hot
-
-_FIRST = Window.unboundedPreceding
-_LAST = Window.unboundedFollowing
+from .skew import DEFAULT, HotKeys, flag_hot, quoted, same_key, split_hot
 
 # Spans of the trailing features, in seconds.
 HOUR = 3600
@@ -30,52 +27,49 @@ WEEK = 7 * DAY
 MONTH = 30 * DAY
 
 
-def time_slice(micros: Column, policy: HotKeys) -> Column:
+def time_slice(micros: str, policy: HotKeys) -> str:
     """Slice number; rows without a time sort first, so they get a slice before all others."""
-    return F.coalesce(F.floor(micros / F.lit(policy.slice_seconds * 1_000_000)), F.lit(-(2**62))).cast("bigint")
-
-
-def _summary() -> list[Column]:
-    return [
-        F.count("transaction_id").alias("_n"),
-        F.count("tx_amount").alias("_m"),
-        F.avg("tx_amount").alias("_mean"),
-        (F.var_pop("tx_amount") * F.count("tx_amount")).alias("_m2"),
-        F.max("tx_datetime").alias("_last"),
-        F.sum("tx_fraud").alias("_fraud"),
-    ]
+    return f"coalesce({micros} div {policy.slice_seconds * 1_000_000}L, {-(2**62)}L)"
 
 
-def _earlier_slices(sliced: DataFrame, keys: list[str]) -> DataFrame:
+def _earlier_slices(history: DataFrame, keys: list[str], prior_fraud: bool) -> DataFrame:
     """For each slice of a hot key, the totals of the slices before it.
 
     Means are kept as distances from the key's first mean, so that the sums of squares do not cancel.
     """
-    per_slice = sliced.groupBy(*keys, "_slice").agg(*_summary())
-    whole = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(_FIRST, _LAST)
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(_FIRST, -1)
-    shift = F.col("_mean") - F.col("_origin")
-    totals = per_slice.withColumn("_origin", F.first("_mean", ignorenulls=True).over(whole)).select(
-        *keys,
-        "_slice",
-        "_origin",
-        F.sum("_n").over(before).alias("_n0"),
-        F.sum("_m").over(before).alias("_m0"),
-        F.sum(F.col("_m") * shift).over(before).alias("_s0"),
-        F.sum(F.col("_m2") + F.col("_m") * shift * shift).over(before).alias("_q0"),
-        F.max("_last").over(before).alias("_last0"),
-        F.sum("_fraud").over(before).alias("_fraud0"),
-    )
-    distance = F.try_divide("_s0", "_m0")
-    return totals.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_slice").alias("_c_slice"),
-        "_n0",
-        "_m0",
-        (F.col("_origin") + distance).alias("_mean0"),
-        (F.col("_q0") - distance * F.col("_s0")).alias("_m20"),
-        "_last0",
-        "_fraud0",
+    summary = [
+        "count(transaction_id) as _n",
+        "count(tx_amount) as _m",
+        "avg(tx_amount) as _mean",
+        "var_pop(tx_amount) * count(tx_amount) as _m2",
+        "max(tx_datetime) as _last",
+    ]
+    slices = f"over (partition by {quoted(keys)} order by _slice rows between unbounded preceding and "
+    before = f"{slices} 1 preceding)"
+    totals = [
+        f"sum(_n) {before} as _n0",
+        f"sum(_m) {before} as _m0",
+        f"sum(_m * (_mean - _origin)) {before} as _s0",
+        f"sum(_m2 + _m * (_mean - _origin) * (_mean - _origin)) {before} as _q0",
+        f"max(_last) {before} as _last0",
+    ]
+    kept = ["_n0", "_m0", "_last0"]
+    if prior_fraud:
+        summary.append("sum(tx_fraud) as _fraud")
+        totals.append(f"sum(_fraud) {before} as _fraud0")
+        kept.append("_fraud0")
+    names = [*[f"`{k}` as `_c_{k}`" for k in keys], "_slice as _c_slice"]
+    return (
+        history.groupBy(*keys, "_slice")
+        .agg(*[F.expr(e) for e in summary])
+        .selectExpr("*", f"first(_mean, true) {slices} unbounded following) as _origin")
+        .selectExpr(*names, "_origin", *totals)
+        .selectExpr(
+            *[f"`_c_{k}`" for k in [*keys, "slice"]],
+            *kept,
+            "_origin + try_divide(_s0, _m0) as _mean0",
+            "_q0 - try_divide(_s0, _m0) * _s0 as _m20",
+        )
     )
 
 
@@ -98,57 +92,57 @@ def running_features(
     slice totals are then read from it and not from the longer plan. One shuffle of the rows.
     """
     source = df if source is None else source
-    micros = F.unix_micros("tx_datetime")
-    flagged = flag_hot(df, keys, policy, source)
-    sliced = flagged.withColumn("_slice", F.when(F.col("_is_hot"), time_slice(micros, policy)))
-    hot_history = split_hot(source, keys, policy)[1].withColumn("_slice", time_slice(micros, policy))
-
-    part = Window.partitionBy(*keys, "_slice")
-    upto = part.orderBy("tx_datetime")
-    rows = part.orderBy("tx_datetime", "transaction_id")
-    n, m = F.count("transaction_id").over(upto), F.count("tx_amount").over(upto)
+    slice_of_row = time_slice("unix_micros(tx_datetime)", policy)
+    sliced = flag_hot(df, keys, policy, source).selectExpr("*", f"if(_is_hot, {slice_of_row}, null) as _slice")
+    history = split_hot(source, keys, policy)[1].selectExpr("*", f"{slice_of_row} as _slice")
+
+    part = f"over (partition by {quoted(keys)}, _slice order by tx_datetime"
     # One select, the finer order first: its sort then serves both orders.
     inner = []
     if gap:
-        inner.append(F.lag("tx_datetime").over(rows).alias("_previous"))
+        inner.append(f"lag(tx_datetime) {part}, transaction_id) as _previous")
     if prior_fraud:
-        inner.append(F.sum("tx_fraud").over(rows.rowsBetween(_FIRST, -1)).alias("_fraud"))
+        rows = "rows between unbounded preceding and 1 preceding"
+        inner.append(f"sum(tx_fraud) {part}, transaction_id {rows}) as _fraud")
     inner += [
-        n.alias("_n"),
-        m.alias("_m"),
-        F.avg("tx_amount").over(upto).alias("_mean"),
-        (F.var_pop("tx_amount").over(upto) * m).alias("_m2"),
+        f"count(transaction_id) {part}) as _n",
+        f"count(tx_amount) {part}) as _m",
+        f"avg(tx_amount) {part}) as _mean",
+        f"var_pop(tx_amount) {part}) * count(tx_amount) {part}) as _m2",
     ]
-    windowed = sliced.select(*df.columns, "_slice", *inner)
+    windowed = sliced.selectExpr(*[f"`{c}`" for c in df.columns], "_slice", *inner)
 
     # The rows already lie by (keys, _slice); only the small slice totals move for this join.
-    carry = _earlier_slices(hot_history, keys)
-    on = [windowed[k] == carry[f"_c_{k}"] for k in keys] + [windowed["_slice"] == carry["_c_slice"]]
-    joined = windowed.join(carry, on, "left")
-
-    col = F.col
-    m0 = F.coalesce(col("_m0"), F.lit(0))
-    m_all = col("_m") + m0
-    delta = col("_mean") - col("_mean0")
-    both = (m0 > 0) & (col("_m") > 0)
-    mean = F.when(both, col("_mean0") + delta * col("_m") / m_all).otherwise(F.coalesce(col("_mean"), col("_mean0")))
-    m2 = F.when(both, col("_m20") + col("_m2") + delta * delta * m0 * col("_m") / m_all).otherwise(
-        F.coalesce(col("_m2"), col("_m20"))
+    carry = _earlier_slices(history, keys, prior_fraud)
+    joined = windowed.join(carry, _same_slice(keys), "left")
+
+    # Two groups of amounts merge into one by their counts, means and sums of squared distances.
+    merged = joined.selectExpr(
+        "*",
+        "_m + coalesce(_m0, 0) as _all",
+        "if(_m0 > 0 and _m > 0, _mean - _mean0, 0) as _delta",
+    ).selectExpr(
+        "*",
+        "if(_m0 > 0 and _m > 0, _mean0 + _delta * _m / _all, coalesce(_mean, _mean0)) as _avg",
+        "if(_m0 > 0 and _m > 0, _m20 + _m2 + _delta * _delta * _m0 * _m / _all, coalesce(_m2, _m20)) as _squares",
     )
     out = [
-        mean.alias(f"avg_tx_amount_{suffix}"),
-        (col("_n") + F.coalesce(col("_n0"), F.lit(0))).alias(f"tx_count_{suffix}"),
-        F.when(m_all > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (m_all - 1))).alias(f"sd_tx_amount_{suffix}"),
+        f"_avg as avg_tx_amount_{suffix}",
+        f"_n + coalesce(_n0, 0) as tx_count_{suffix}",
+        f"if(_all > 1, sqrt(greatest(_squares, 0) / (_all - 1)), null) as sd_tx_amount_{suffix}",
     ]
     if population_variance:
-        out.append(F.when(m_all > 0, F.greatest(m2, F.lit(0.0)) / m_all).alias(f"var_pop_tx_amount_{suffix}"))
+        out.append(f"if(_all > 0, greatest(_squares, 0) / _all, null) as var_pop_tx_amount_{suffix}")
     if gap:
-        previous = F.coalesce(col("_previous"), col("_last0"))
-        out.append(seconds_between(previous, col("tx_datetime"), unit_divisor).alias("time_since_last_tx"))
+        since = "unix_seconds(tx_datetime) - unix_seconds(coalesce(_previous, _last0))"
+        out.append(f"({since}) / {float(unit_divisor)!r}D as time_since_last_tx")
     if prior_fraud:
-        earlier = F.coalesce(col("_fraud"), F.lit(0)) + F.coalesce(col("_fraud0"), F.lit(0))
-        out.append(earlier.alias(f"prior_fraud_{suffix}"))
-    return joined.select(*df.columns, *out)
+        out.append(f"coalesce(_fraud, 0) + coalesce(_fraud0, 0) as prior_fraud_{suffix}")
+    return merged.selectExpr(*[f"`{c}`" for c in df.columns], *out)
+
+
+def _same_slice(keys: list[str]):
+    return same_key(keys, "_c_") & F.expr("_slice = _c_slice")
 
 
 def key_statistics(
@@ -160,25 +154,25 @@ def key_statistics(
     row per hot key), while their rows are dealt into shares so that no window gets them all.
     """
     source = df if source is None else source
-    names = [f"avg_tx_amount_{suffix}", f"tx_count_{suffix}", f"sd_tx_amount_{suffix}"]
-    stats = [F.avg("tx_amount"), F.count("transaction_id"), F.stddev_samp("tx_amount")]
-
-    _, hot_rows = split_hot(source, keys, policy)
-    hot = F.broadcast(
-        hot_rows.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        .agg(*[s.alias(f"_hot_{name}") for s, name in zip(stats, names)])
-        .withColumn("_is_hot", F.lit(True))
+    statistics = {
+        f"avg_tx_amount_{suffix}": "avg(tx_amount)",
+        f"tx_count_{suffix}": "count(transaction_id)",
+        f"sd_tx_amount_{suffix}": "stddev_samp(tx_amount)",
+    }
+    hot = (
+        split_hot(source, keys, policy)[1]
+        .groupBy(*keys)
+        .agg(*[F.expr(f"{e} as _hot_{name}") for name, e in statistics.items()])
+        .selectExpr("*", "true as _is_hot")
+        .withColumnsRenamed({k: f"_hot_{k}" for k in keys})
     )
-    match = [df[k].eqNullSafe(hot[f"_hot_{k}"]) for k in keys]
-    flagged = df.join(hot, match, "left")
-    share = F.when(F.col("_is_hot"), F.pmod(F.xxhash64("transaction_id"), F.lit(policy.shares)))
-    part = Window.partitionBy(*keys, "_share")
-    return flagged.withColumn("_share", share).select(
-        *df.columns,
-        *[
-            F.when(F.col("_is_hot"), F.col(f"_hot_{name}")).otherwise(s.over(part)).alias(name)
-            for s, name in zip(stats, names)
-        ],
+    flagged = df.join(F.broadcast(hot), same_key(keys), "left").selectExpr(
+        "*", f"if(_is_hot, pmod(xxhash64(transaction_id), {policy.shares}), null) as _share"
+    )
+    part = f"over (partition by {quoted(keys)}, _share)"
+    return flagged.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"if(_is_hot, _hot_{name}, {e} {part}) as {name}" for name, e in statistics.items()],
     )
 
 
@@ -194,77 +188,89 @@ def trailing_features(
 ) -> DataFrame:
     """Sum and count of the amounts of a key in ``(t - span, t]``, for each named span in seconds.
 
-    ``frequency`` adds transactions per day of the span. Ordinary keys use a RANGE frame per span, all
-    on one sort. For hot keys every transaction enters at its time and leaves a span later; the running
-    total of both is the trailing sum, at a cost that does not grow with the length of the span.
+    ``frequency`` adds transactions per day of the span. Amounts must be finite or NULL, as cleaning
+    leaves them. The cost per row does not depend on how many transactions a span holds.
     """
     ordinary, hot = split_hot(df, keys, policy, source)
-    micros = F.unix_micros("tx_datetime")
-    part = Window.partitionBy(*keys).orderBy(micros)
+    both = _trailing_of_ordinary(ordinary, keys, suffix, spans).unionByName(
+        _trailing_of_hot(hot, keys, suffix, spans, policy)
+    )
+    if not frequency:
+        return both
+    return both.selectExpr(
+        "*", *[f"count_{n}_{suffix} / {seconds / DAY!r}D as per_day_{n}_{suffix}" for n, seconds in spans.items()]
+    )
+
+
+def _trailing_of_ordinary(df: DataFrame, keys: list[str], suffix: str, spans: Mapping[str, int]) -> DataFrame:
+    """Running total up to t minus running total up to ``t - span``.
+
+    Both frames only grow, so Spark adds each row once to each; it would recompute a sliding frame for
+    every row. The totals are of distances from the key's mean, which stay small. One sort serves all.
+    """
+    part = f"over (partition by {quoted(keys)} order by _at"
+    measured = {"x": "sum(tx_amount - _mean)", "m": "count(tx_amount)", "n": "count(transaction_id)"}
+    totals = [f"{e} {part}) as _{i}" for i, e in measured.items()]
     columns = []
     for name, seconds in spans.items():
-        frame = part.rangeBetween(-(seconds * 1_000_000 - 1), 0)
-        columns.append(F.sum("tx_amount").over(frame).alias(f"sum_{name}_{suffix}"))
-        columns.append(F.count("transaction_id").over(frame).alias(f"count_{name}_{suffix}"))
-    result = ordinary.select("*", *columns).unionByName(_trailing_of_hot(hot, keys, suffix, spans, policy))
-    if frequency:
-        result = result.select(
-            "*",
-            *[
-                (F.col(f"count_{name}_{suffix}") / F.lit(seconds / DAY)).alias(f"per_day_{name}_{suffix}")
-                for name, seconds in spans.items()
-            ],
-        )
-    return result
+        gone = f"range between unbounded preceding and {seconds * 1_000_000}L preceding"
+        totals += [f"{e} {part} {gone}) as _gone_{name}_{i}" for i, e in measured.items()]
+        x, m, n = (f"(_{i} - coalesce(_gone_{name}_{i}, 0))" for i in measured)
+        columns += [f"if({m} > 0, {x} + _mean * {m}, null) as sum_{name}_{suffix}", f"{n} as count_{name}_{suffix}"]
+    kept = [f"`{c}`" for c in df.columns]
+    return (
+        df.selectExpr("*", "unix_micros(tx_datetime) as _at")
+        .selectExpr("*", f"avg(tx_amount) {part} rows between unbounded preceding and unbounded following) as _mean")
+        .selectExpr(*kept, "_mean", *totals)
+        .selectExpr(*kept, *columns)
+    )
 
 
 def _trailing_of_hot(
     hot: DataFrame, keys: list[str], suffix: str, spans: Mapping[str, int], policy: HotKeys
 ) -> DataFrame:
-    micros = F.unix_micros("tx_datetime")
-    one = F.col("transaction_id").isNotNull().cast("bigint")
-
-    def moves(sign: int, only: str | None = None) -> list[Column]:
-        out = []
-        for name in spans:
-            used = only is None or only == name
-            out.append((F.col("tx_amount") * sign if used else F.lit(None).cast("double")).alias(f"_x_{name}"))
-            out.append((one * sign if used else F.lit(0).cast("bigint")).alias(f"_k_{name}"))
-        return out
-
-    enter = hot.select("*", micros.alias("_at"), F.lit(True).alias("_enters"), *moves(1))
-    events = enter
-    for name, seconds in spans.items():
-        leave = hot.select(
-            *keys, (micros + seconds * 1_000_000).alias("_at"), F.lit(False).alias("_enters"), *moves(-1, name)
-        )
-        events = events.unionByName(leave, allowMissingColumns=True)
-    events = events.withColumn("_slice", time_slice(F.col("_at"), policy))
+    """Each transaction enters at its time and leaves a span later; the running total is the trailing one.
 
-    moved = [f"_{kind}_{name}" for name in spans for kind in ("x", "k")]
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(_FIRST, -1)
+    It runs inside time slices, on top of the totals of the earlier slices.
+    """
+    # 0 for entering, else the seconds after which the transaction leaves.
+    after = ", ".join(f"{seconds}L" for seconds in [0, *sorted(set(spans.values()))])
+    measured = {
+        "x": "coalesce(tx_amount, 0D)",
+        "m": "cast(tx_amount is not null as bigint)",
+        "n": "cast(transaction_id is not null as bigint)",
+    }
+    moves = [
+        f"{e} * case _after when 0 then 1 when {seconds} then -1 else 0 end as _{name}_{i}"
+        for name, seconds in spans.items()
+        for i, e in measured.items()
+    ]
+    # Only what enters is a row of the result; what leaves carries no other columns.
+    kept = [f"`{c}`" if c in keys else f"if(_after = 0, `{c}`, null) as `{c}`" for c in hot.columns]
+    events = (
+        hot.selectExpr("*", f"explode(array({after})) as _after")
+        .selectExpr(*kept, "unix_micros(tx_datetime) + _after * 1000000L as _at", "_after = 0 as _enters", *moves)
+        .selectExpr("*", f"{time_slice('_at', policy)} as _slice")
+    )
+
+    moved = [f"_{name}_{i}" for name in spans for i in measured]
+    before = f"over (partition by {quoted(keys)} order by _slice rows between unbounded preceding and 1 preceding)"
     carry = (
         events.groupBy(*keys, "_slice")
-        .agg(*[F.sum(c).alias(c) for c in moved])
-        .select(
-            *[F.col(k).alias(f"_c_{k}") for k in keys],
-            F.col("_slice").alias("_c_slice"),
-            *[F.sum(c).over(before).alias(f"{c}0") for c in moved],
+        .agg(*[F.expr(f"sum({c}) as {c}") for c in moved])
+        .selectExpr(
+            *[f"`{k}` as `_c_{k}`" for k in keys],
+            "_slice as _c_slice",
+            *[f"sum({c}) {before} as {c}_before" for c in moved],
         )
     )
-    upto = Window.partitionBy(*keys, "_slice").orderBy("_at")
-    running = events.select(
-        *hot.columns, "_slice", "_enters", *[F.sum(c).over(upto).alias(c) for c in moved]
-    ).filter("_enters")
-    on = [running[k].eqNullSafe(carry[f"_c_{k}"]) for k in keys] + [running["_slice"] == carry["_c_slice"]]
-    zero = F.lit(0)
-    return running.join(carry, on, "left").select(
-        *hot.columns,
-        *[
-            (F.coalesce(F.col(f"_{kind}_{name}"), zero) + F.coalesce(F.col(f"_{kind}_{name}0"), zero)).alias(
-                f"{label}_{name}_{suffix}"
-            )
-            for name in spans
-            for kind, label in (("x", "sum"), ("k", "count"))
-        ],
-    )
+    upto = f"over (partition by {quoted(keys)}, _slice order by _at)"
+    rows = [f"`{c}`" for c in hot.columns]
+    running = events.selectExpr(*rows, "_slice", "_enters", *[f"sum({c}) {upto} as {c}" for c in moved])
+    joined = running.filter("_enters").join(carry, _same_slice(keys), "left")
+
+    columns = []
+    for name in spans:
+        x, m, n = (f"(_{name}_{i} + coalesce(_{name}_{i}_before, 0))" for i in measured)
+        columns += [f"if({m} > 0, {x}, null) as sum_{name}_{suffix}", f"{n} as count_{name}_{suffix}"]
+    return joined.selectExpr(*rows, *columns)

@@ -219,7 +219,7 @@ def per_column(measures: dict[str, dict[str, str]], source: str, with_clause: st
     names = COLUMNS.split(", ")
     rows = []
     for c in names:
-        values = ", ".join(f"cast({by_column.get(c, '0')} as bigint) as {m}" for m, by_column in measures.items())
+        values = ", ".join(f"cast({by_column.get(c, '0 * count(*)')} as bigint) as {m}" for m, by_column in measures.items())
         rows.append(f"select '{c}' as column_name, {values} from {source}")
     return f"with {with_clause} " + " union all ".join(rows)
 

@@ -42,7 +42,7 @@ def read_topic(spark: SparkSession, topic: str, options: dict[str, str], max_off
 
 
 def read_message_files(
-    spark: SparkSession, path: str, max_bytes: str = "1g", max_files: int | None = None
+    spark: SparkSession, path: str, max_bytes: int = 2**30, max_files: int | None = None
 ) -> DataFrame:
     """The same stream from files of one message per line, with a cap per micro-batch in bytes or in files."""
     stream = spark.readStream
