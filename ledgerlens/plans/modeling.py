@@ -11,7 +11,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.features import FEATURES
 
@@ -44,10 +43,7 @@ def fit(train: DataFrame, classifier: Estimator, columns: Sequence[str] = FEATUR
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``df`` with ``prediction`` and ``probability`` of fraud; batch or stream, keys and all columns kept."""
     scored = model.transform(df)
-    fraud = vector_to_array("probability")[1]
-    return scored.select(*df.columns, "prediction", fraud.alias("fraud_probability")).withColumnRenamed(
-        "fraud_probability", "probability"
-    )
+    return scored.select(*df.columns, "prediction", vector_to_array("probability")[1].alias("probability"))
 
 
 def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -68,7 +64,8 @@ def evaluate(scored: DataFrame) -> dict[str, float]:
     ``operators.metrics.weighted_metrics`` gives the same numbers from one job.
     """
     evaluator = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction")
-    return {m: evaluator.evaluate(scored, {evaluator.metricName: name}) for m, name in EVALUATOR_NAMES.items()}
+    pairs = scored.select(LABEL, "prediction")
+    return {m: evaluator.evaluate(pairs, {evaluator.metricName: name}) for m, name in EVALUATOR_NAMES.items()}
 
 
 def area_under(scored: DataFrame, curve: str = "ROC") -> float:
@@ -76,4 +73,4 @@ def area_under(scored: DataFrame, curve: str = "ROC") -> float:
     evaluator = BinaryClassificationEvaluator(
         labelCol=LABEL, rawPredictionCol="probability", metricName=f"areaUnder{curve}"
     )
-    return evaluator.evaluate(scored.withColumn("probability", F.col("probability").cast("double")))
+    return evaluator.evaluate(scored.select(LABEL, "probability"))

@@ -77,7 +77,9 @@ def running_amounts(
 ) -> DataFrame:
     """All columns of the stream plus the running features of ``key``.
 
-    State is kept without limit unless ``ttl_ms`` forgets a key not seen for that long.
+    State is kept without limit unless ``ttl_ms`` forgets a key not seen for that long. With a limit,
+    Spark runs empty batches to expire keys, so such a query needs a processing-time trigger and never
+    ends by itself under ``availableNow``.
     """
     columns = stream.columns
     added = [

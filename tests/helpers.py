@@ -2,6 +2,8 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+
 from ledgerlens.schemas import TRANSACTION_SCHEMA
 
 START = datetime(2024, 1, 1)
@@ -23,6 +25,12 @@ def by_id(df, *columns):
     return {r["transaction_id"]: tuple(r[c] for c in columns) for r in df.collect()}
 
 
+def close(a, b):
+    if a is None or b is None:
+        return a is b
+    return a == pytest.approx(b, rel=1e-9, abs=1e-9)
+
+
 def plan(df, final=False):
     if final:
         df.collect()

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import START, by_id, plan, tx_frame
+from helpers import START, by_id, close, plan, tx_frame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -26,12 +26,6 @@ def skewed(spark, seed=7):
     return tx_frame(spark, *rows)
 
 
-def close(a, b):
-    if a is None or b is None:
-        return a is b
-    return a == pytest.approx(b, rel=1e-9, abs=1e-9)
-
-
 def assert_same(left, right, columns):
     left, right = by_id(left, *columns), by_id(right, *columns)
     assert left.keys() == right.keys()

@@ -24,7 +24,7 @@ def model(table):
     return modeling.fit(sampling.split(table)[0], modeling.forest(trees=10))
 
 
-def test_defaults():
+def test_defaults(spark):
     assert modeling.forest().getNumTrees() == 100 and modeling.forest().getSeed() == 42
     assert modeling.logistic().getMaxIter() == 1000
 
