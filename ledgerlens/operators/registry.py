@@ -21,23 +21,32 @@ def start_registry(spark: SparkSession, path: str) -> None:
     empty.write.mode("ignore").partitionBy("experiment", "run_id").parquet(path)
 
 
+def _replace_run(rows: DataFrame, path: str, experiment: str, run_id: str) -> None:
+    named = rows.select(F.lit(experiment).alias("experiment"), F.lit(run_id).alias("run_id"), "*")
+    (
+        named.coalesce(1)  # a few rows per run
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("experiment", "run_id")
+        .parquet(path)
+    )
+
+
 def log_values(values: DataFrame, path: str, experiment: str, run_id: str, start_time: datetime) -> None:
     """Write the ``(metric, stat, value)`` rows of a run. Logging a run again replaces its rows."""
     rows = values.select(
-        F.lit(experiment).alias("experiment"),
-        F.lit(run_id).alias("run_id"),
         F.lit(start_time).cast("timestamp").alias("start_time"),
         "metric",
         "stat",
         F.col("value").cast("double").alias("value"),
     )
-    (
-        rows.coalesce(1)  # a few rows per run
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("experiment", "run_id")
-        .parquet(path)
-    )
+    _replace_run(rows, path, experiment, run_id)
+
+
+def log_decisions(compared: DataFrame, path: str, experiment: str, run_id: str) -> None:
+    """Write the text of each tested metric; a first run has none."""
+    rows = compared.filter("decision is not null").select("metric", "significant", "decision")
+    _replace_run(rows, path, experiment, run_id)
 
 
 def summary_values(summary: DataFrame) -> DataFrame:

@@ -364,10 +364,15 @@ def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.rejected(_decoded(spark, sf_dir)).groupBy("error").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _message_stream(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    path = message_files(spark, lines)
+    return messages.read_message_files(jobs.state_session(spark, path), path)
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All transactions as a decoded message stream."""
-    path = message_files(spark, messages.encode(transactions(spark, sf_dir)).select("value"))
-    return messages.usable(messages.decode(messages.read_message_files(spark, path, **options)))
+    lines = messages.encode(transactions(spark, sf_dir)).select("value")
+    return messages.usable(messages.decode(_message_stream(spark, lines)))
 
 
 def _state_columns(table: DataFrame) -> DataFrame:
@@ -395,14 +400,12 @@ def stateful_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message arrives twice and is kept once."""
     lines = messages.encode(transactions(spark, sf_dir)).select("value")
-    path = message_files(spark, lines.unionByName(lines))
-    stream = messages.usable(messages.decode(messages.read_message_files(spark, path)))
+    stream = messages.usable(messages.decode(_message_stream(spark, lines.unionByName(lines))))
     return presentable(jobs.run_to_table(messages.distinct_messages(stream), "distinct"))
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = message_files(spark, broken_messages(transactions(spark, sf_dir)))
-    bad = messages.rejected(messages.decode(messages.read_message_files(spark, path)))
+    bad = messages.rejected(messages.decode(_message_stream(spark, broken_messages(transactions(spark, sf_dir)))))
     return jobs.run_to_table(bad, "quarantine").groupBy("error").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -430,8 +433,8 @@ def logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, training = _features_and_training(spark, sf_dir)
     model = modeling.fit(training, modeling.forest())
-    path = message_files(spark, messages.encode(transactions(spark, sf_dir)).select("value"))
-    scored = jobs.scored_messages(messages.read_message_files(spark, path), model)
+    lines = messages.encode(transactions(spark, sf_dir)).select("value")
+    scored = jobs.scored_messages(_message_stream(spark, lines), model)
     return jobs.run_to_table(scored, "scored").select("transaction_id", "prediction", "probability")
 
 

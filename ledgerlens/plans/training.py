@@ -13,6 +13,7 @@ from ..operators.features import transaction_features
 from ..operators.registry import (
     before_run,
     comparison_values,
+    log_decisions,
     log_values,
     read_runs,
     start_registry,
@@ -34,10 +35,11 @@ def run_ab_test(
     fraction: float = 0.1,
     seed: int = 42,
     alpha: float = ALPHA,
+    decisions: str | None = None,
 ) -> DataFrame:
     """Bootstrap the metrics of scored rows, test them against the experiment's previous run, log both.
 
-    Returns one row per metric; a first run has statistics only.
+    Returns one row per metric; a first run has statistics only. ``decisions`` is a table for the texts.
     """
     spark = scored.sparkSession
     start_registry(spark, registry)
@@ -47,6 +49,8 @@ def run_ab_test(
     compared = materialize(compare(summary, previous, alpha), "ab-test")
     values = summary_values(compared).unionByName(comparison_values(compared))
     log_values(values, registry, experiment, run_id, start_time)
+    if decisions:
+        log_decisions(compared, decisions, experiment, run_id)
     return compared
 
 

@@ -11,11 +11,25 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from ..operators.features import FEATURES
 from ..plans.modeling import predict
 from ..schemas import MESSAGE_TIMESTAMP
-from ..session import STATE_STORE, scratch_path
+from ..session import STATE_STORE, scratch_path, use_utc
+from ..sources.tables import list_files, total_size
 from .messages import decode, distinct_messages, rejected, usable
 from .state import customer_state, terminal_state, transaction_state
 
 
+def state_session(spark: SparkSession, path: str, bytes_per_partition: int = 64 * 2**20) -> SparkSession:
+    """A session for one stateful query over the files of ``path``, with state partitions by their size.
+
+    The number of state partitions is fixed for the life of a query, so it follows the data and not the
+    setting for batch shuffles: at least one per core, more as the input grows.
+    """
+    size = total_size(list_files(spark, path)).first()["bytes"]
+    session = use_utc(spark.newSession())
+    partitions = max(spark.sparkContext.defaultParallelism, size // bytes_per_partition)
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    return session
+
+
 def scored_messages(messages: DataFrame, model: PipelineModel, ttl_ms: int | None = None) -> DataFrame:
     """Decode, add the running features from keyed state, score.
 

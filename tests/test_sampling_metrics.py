@@ -135,10 +135,10 @@ def test_z_test_by_hand(spark):
 
 
 def test_runs_are_compared_with_their_predecessor(spark, sf_dir, fresh_path):
-    path, tx = fresh_path("runs"), transactions(spark, sf_dir)
+    path, texts, tx = fresh_path("runs"), fresh_path("decisions"), transactions(spark, sf_dir)
 
     def run(run_id, day, rule):
-        return run_ab_test(rule_scores(tx, rule), path, "exp", run_id, datetime(2024, 1, day))
+        return run_ab_test(rule_scores(tx, rule), path, "exp", run_id, datetime(2024, 1, day), decisions=texts)
 
     first = run("a", 1, 60.0)
     assert {r["p_value"] for r in first.collect()} == {None}
@@ -156,6 +156,8 @@ def test_runs_are_compared_with_their_predecessor(spark, sf_dir, fresh_path):
     run("c", 3, 60.0)  # logged again: replaced, not doubled
     assert registry.read_runs(spark, path).count() == before
     assert registry.before_run(runs, "other", "x").count() == 0
+    logged = spark.read.parquet(texts).filter("run_id = 'c'").collect()
+    assert {r["metric"]: r["decision"] for r in logged} == {m: third[m]["decision"] for m in metrics.METRICS}
 
 
 def test_bootstrap_is_one_pass(spark, sf_dir):

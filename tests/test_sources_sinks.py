@@ -1,6 +1,7 @@
 import os
 from pathlib import Path
 
+import pytest
 from helpers import plan
 from pyspark.sql import functions as F
 
@@ -125,4 +126,31 @@ def test_materialized_table_equals_its_plan(spark, sf_dir):
     table = materialize(tx, "tx")
     assert table.dtypes == tx.dtypes and sorted(table.collect()) == sorted(tx.collect())
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(shared)
+
+
+class _Context:
+    """Stands for the context of a session whose configuration names no shared folder."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master):
+        self.sparkContext, self.conf = _Context(master), {}
+
+
+def test_only_a_local_session_may_use_a_temporary_folder():
+    local = _Session("local[2]")
+    first, second = scratch_path(local, "a"), scratch_path(local, "b")
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == local.sparkContext.folder
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_Session("spark://host:7077"), "a")
