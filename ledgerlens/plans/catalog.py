@@ -256,7 +256,8 @@ def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scaled(spark: SparkSession, sf_dir: str, scale: Callable) -> DataFrame:
-    table = features.transaction_features(transactions(spark, sf_dir))
+    # Read twice, for the statistics and for the result.
+    table = materialize(features.transaction_features(transactions(spark, sf_dir)), "features")
     return presentable(scale(table, features.FEATURES).select("transaction_id", *features.FEATURES))
 
 

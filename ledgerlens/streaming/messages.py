@@ -54,17 +54,24 @@ def read_message_files(
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """The fields of each message, its text in ``value``, and ``_error`` if it cannot be used."""
+    """The fields of each message, its text in ``value``, and ``_error`` if it cannot be used.
+
+    A message needs an id, a time, a customer, a terminal and an amount; one without would spoil the
+    running state of its keys.
+    """
     # As a string first, so that a bad time can be told from an absent one.
     fields = ", ".join(
         f"{f.name} {'string' if f.name == 'tx_datetime' else f.dataType.simpleString()}" for f in TRANSACTION_SCHEMA
     )
     parsed = messages.select("value", F.from_json("value", f"{fields}, _broken string", _parse_options()).alias("m"))
     at = F.try_to_timestamp(F.col("m.tx_datetime"), F.lit(MESSAGE_TIMESTAMP))
+    needed = ["customer_id", "terminal_id", "tx_amount"]
+    incomplete = F.isnan("m.tx_amount") | F.greatest(*[F.col(f"m.{c}").isNull() for c in needed])
     error = (
         F.when(F.col("m").isNull() | F.col("m._broken").isNotNull(), "not_json")
         .when(F.col("m.transaction_id").isNull(), "no_id")
         .when(at.isNull(), "bad_time")
+        .when(incomplete, "incomplete")
     )
     columns = [at.alias(f.name) if f.name == "tx_datetime" else F.col(f"m.{f.name}") for f in TRANSACTION_SCHEMA]
     return parsed.select(*columns, "value", error.alias("_error"))

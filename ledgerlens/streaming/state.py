@@ -36,32 +36,37 @@ class RunningAmounts(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = self.state.get() if self.state.exists() else None
         count, mean, m2, last = known if known is not None else (0, 0.0, 0.0, None)
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["tx_datetime", "transaction_id"], kind="stable", ignore_index=True)
+        chunks = list(rows)
+        batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        order = np.lexsort((batch["transaction_id"].to_numpy(), batch["tx_datetime"].to_numpy()))
+        if (order[1:] < order[:-1]).any():
+            batch = batch.take(order)
 
         amounts = batch["tx_amount"].to_numpy(dtype="float64")
         origin = mean if count else amounts[0]
         shifted = amounts - origin
         sums, squares = np.cumsum(shifted), np.cumsum(shifted * shifted)
-        counts = count + np.arange(1, len(batch) + 1)
-        means = origin + sums / counts
+        counts = count + np.arange(1, len(amounts) + 1)
         m2s = np.maximum(m2 + squares - sums * sums / counts, 0.0)
+        means = origin + sums / counts
 
-        result = batch[self.columns].copy()
+        result = {c: batch[c].array for c in self.columns}
         result[f"avg_tx_amount_{self.suffix}"] = means
         result[f"tx_count_{self.suffix}"] = counts
-        with np.errstate(divide="ignore", invalid="ignore"):
-            result[f"sd_tx_amount_{self.suffix}"] = np.where(counts > 1, np.sqrt(m2s / (counts - 1)), np.nan)
+        deviations = np.full(len(counts), np.nan)
+        np.divide(m2s, counts - 1, out=deviations, where=counts > 1)
+        result[f"sd_tx_amount_{self.suffix}"] = np.sqrt(deviations)
         result[f"var_pop_tx_amount_{self.suffix}"] = m2s / counts
         if self.gap:
-            times = batch["tx_datetime"].dt.floor("s")
-            previous = times.shift(1)
+            seconds = batch["tx_datetime"].to_numpy().astype("datetime64[s]").astype("int64")
+            gaps = np.full(len(seconds), np.nan)
+            gaps[1:] = np.diff(seconds)
             if last is not None:
-                previous.iloc[0] = pd.Timestamp(last).floor("s")
-            result["time_since_last_tx"] = (times - previous).dt.total_seconds()
-        newest = batch["tx_datetime"].iloc[-1]
-        self.state.update((int(counts[-1]), float(means[-1]), float(m2s[-1]), newest.to_pydatetime()))
-        yield result
+                gaps[0] = seconds[0] - np.datetime64(last, "s").astype("int64")
+            result["time_since_last_tx"] = gaps
+        newest = batch["tx_datetime"].iloc[-1].to_pydatetime()
+        self.state.update((int(counts[-1]), float(means[-1]), float(m2s[-1]), newest))
+        yield pd.DataFrame(result, copy=False)
 
     def close(self) -> None:
         pass

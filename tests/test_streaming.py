@@ -53,7 +53,11 @@ def test_decode_inverts_encode(spark):
         (GOOD.replace('"transaction_id":7,', ""), "no_id"),
         (GOOD.replace("10:00:00", "10:00:00.250"), "bad_time"),
         (GOOD.replace("2024-01-01T10:00:00", "2024-01-01 10:00:00"), "bad_time"),
-        (GOOD.replace('"customer_id":1,', ""), None),
+        (GOOD.replace('"customer_id":1,', ""), "incomplete"),
+        (GOOD.replace('"terminal_id":2', '"terminal_id":null'), "incomplete"),
+        (GOOD.replace("3.5", "null"), "incomplete"),
+        (GOOD.replace("3.5", "NaN"), "incomplete"),
+        (GOOD.replace('"tx_fraud":0,', ""), None),
     ],
 )
 def test_unusable_messages_are_set_aside(spark, text, error):
