@@ -66,7 +66,7 @@ def raw_lines(tx: DataFrame) -> DataFrame:
     line = F.concat_ws(",", *[f.cast("string") for f in fields])
     copies = F.array_repeat(line, F.when(n % 41 == 0, 2).otherwise(1))
     lines = tx.select(F.explode(copies).alias("value"), day.alias("day"))
-    comments = tx.select(F.lit("# tranaction_id | tx_datetime").alias("value"), day.alias("day")).distinct()
+    comments = tx.select(F.lit("# transaction_id | tx_datetime").alias("value"), day.alias("day")).distinct()
     return lines.unionByName(comments)
 
 

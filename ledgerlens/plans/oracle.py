@@ -276,7 +276,7 @@ ORACLE: dict[str, str] = {
     "line_counts": f"""with {RAW} select file_day as source_day, cast(sum(copies) + 1 as bigint) as line_count,
         cast(1 as bigint) as comment_count from lines group by file_day""",
     "dataset_sizes": f"""with {RAW} select 'day=' || cast(file_day as varchar) as dataset,
-        cast(sum(copies * (length(line) + 1)) + length('# tranaction_id | tx_datetime') + 1 as bigint) as bytes
+        cast(sum(copies * (length(line) + 1)) + length('# transaction_id | tx_datetime') + 1 as bigint) as bytes
         from lines group by file_day""",
     "row_count": "select count(*) as row_count from events",
     "one_day": f"with {TX} select {shown()} from tx where cast(tx_datetime as date) = date '2024-01-10'",
