@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 from .decontaminate import decontaminate
 from .html_extract import extract_text
 from .jaccard_join import jaccard_components
+from .langid import identify_languages, train_languages
 from .mixing import mix
+from .quality_rules import quality_rules, train_quality
 from .secret_scan import BASE_KINDS, scan_secrets
+from .toxicity import score_toxicity
 from .unigram_tokens import count_tokens, read_vocabulary
 from .zip_warc import round_trip
 
+TOXIC_FROM = 0.3
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -32,6 +36,14 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=5, percent=75)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_quality(documents, table(spark, sf_dir, "labels"))
+    return quality_rules(documents, model, carry=["doc_id"]).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10, carry=["doc_id"])
     ids = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
@@ -68,6 +80,30 @@ def op5_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen.select("row.doc_id", "domain", "language", "origin", "n_tokens", F.col("epoch").cast("int").alias("epoch"))
 
 
+def id_remainder(modulus: int):
+    """crc32 of the id as text: the fixed fold of the learned queries."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(documents, documents, table(spark, sf_dir, "labels"), carry=["doc_id"]).select("row.doc_id", "score")
+    return scored.select(
+        "doc_id",
+        (id_remainder(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = train_languages(table(spark, sf_dir, "documents"), id_remainder(5) != 0)
+    found = identify_languages(table(spark, sf_dir, "documents"), model, carry=["doc_id"])
+    return found.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", (id_remainder(5) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"), carry=["doc_id"])
     base = F.filter("secrets", lambda s: s["kind"].isin(*BASE_KINDS))
@@ -97,12 +133,65 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_html_extraction,
         op2_ngram_jaccard_join,
+        op3_quality_rules,
         op4_benchmark_decontamination,
         op5_mixing_to_weights,
+        op6_toxicity,
+        op7_language_id,
         op8_secret_scans,
         op9_token_counts,
         op10_zip_warc,
     )
 }
 
-ORACLE: dict[str, str] = {}
+def _op5_sql() -> str:
+    def case(column: str, weights: dict[str, float]) -> str:
+        return f"case {column} " + " ".join(f"when '{k}' then {v}" for k, v in weights.items()) + " else 1.0 end"
+
+    def fill(nodes: str, parents: str) -> str:
+        over = f"partition by {parents}" if parents else ""
+        order = f"{over} order by cap / weight, name"
+        return f"""
+          select *, least(cap, weight * greatest(max(step) over ({over}), 0.0)) as share from (
+            select *, (budget - coalesce(sum(cap) over ({order} rows between unbounded preceding and 1 preceding), 0.0))
+              / sum(weight) over ({order} rows between current row and unbounded following) as step from ({nodes}))"""
+
+    return f"""
+      with docs as (
+        select doc_id, coalesce(lang, 'unknown') as language, coalesce(source, 'unknown') as origin,
+          case when source is null then 'code' when right(source, 1) in ('0', '1', '2', '3', '4') then 'web'
+            when right(source, 1) in ('5', '6', '7') then 'books' else 'code' end as domain,
+          len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as n_tokens, text
+        from documents),
+      leaves as (
+        select domain, language, origin, cast(sum(n_tokens) as bigint) as supply, {MIX_EPOCHS}.0 * sum(n_tokens) as cap
+        from docs where n_tokens > 0 group by all),
+      d as ({fill(f"select domain, domain as name, cast(sum(cap) as double) as cap, {case('domain', DOMAINS)} as weight, (select 0.5 * sum(supply) from leaves) as budget from leaves group by domain", "")}),
+      l as ({fill(f"select domain, language, language as name, cast(sum(leaves.cap) as double) as cap, {case('language', LANGUAGES)} as weight, any_value(d.share) as budget from leaves join d using (domain) group by domain, language", "domain")}),
+      s as ({fill("select domain, language, origin, origin as name, cast(leaves.cap as double) as cap, supply, 1.0 as weight, l.share as budget from leaves join l using (domain, language)", "domain, language")}),
+      t as (select domain, language, origin, cast(floor(share + 1e-6) as bigint) as take, supply from s),
+      o as (
+        select docs.*, take // supply as epochs, take % supply as rest,
+          ('0x' || left(md5('{MIX_SEED}:' || (take // supply) || ':' || doc_id), 8))::bigint as draw
+        from docs join t using (domain, language, origin) where n_tokens > 0 and take > 0),
+      c as (
+        select *, epochs + cast(sum(n_tokens) over (partition by domain, language, origin order by draw, doc_id, md5(text)
+          rows between unbounded preceding and current row) <= rest as bigint) as copies from o)
+      select doc_id, domain, language, origin, cast(n_tokens as bigint) as n_tokens, cast(e as integer) as epoch
+      from (select *, unnest(range(copies)) as e from c where copies > 0)"""
+
+
+def _op10_sql() -> str:
+    return """
+      with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as digest from pages),
+      q as (select *, max(page_id) over (partition by digest) as best from p),
+      alphabet as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' as a)
+      select page_id, cast(strlen(html) as bigint) as payload_bytes,
+        list_aggregate([substr(a, 1 + cast((('0x' || substr(digest, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31 as integer), 1)
+          for i in range(32)], 'string_agg', '') as payload_digest,
+        case when page_id = best then 'response' else 'revisit' end as record_type,
+        case when page_id = best then null else best end as refers_to
+      from q, alphabet"""
+
+
+ORACLE: dict[str, str] = {"op5_mixing_to_weights": _op5_sql(), "op10_zip_warc": _op10_sql()}
