@@ -72,7 +72,7 @@ class NaiveBayes:
         self.languages = sorted(counts)
         total_docs = sum(n for n, _ in counts.values())
         self.prior = np.array([np.log(counts[x][0] / total_docs) for x in self.languages], dtype=np.float32)
-        table = np.array([counts[x][1] for x in self.languages], dtype=np.float64).reshape(len(self.languages), -1) + smoothing
+        table = np.array([counts[x][1] for x in self.languages], dtype=np.float64).reshape(-1, 1 << BITS) + smoothing
         self.log_probability = np.log(table / table.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
 
     def _evidence(self, found: np.ndarray) -> np.ndarray:
