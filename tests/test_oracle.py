@@ -3,9 +3,9 @@
 import pytest
 from compare import differences
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, SQL = queries(), oracle_sql()
+from __spark_entry__ import entry
+from ledgerlens.plans.catalog import QUERIES
+from ledgerlens.plans.oracle import ORACLE as SQL
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
