@@ -38,11 +38,6 @@ def day_of_path(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, DAY_IN_PATH, 1))
 
 
-def seconds_between(earlier: Column, later: Column, unit_divisor: float = 1.0) -> Column:
-    """Whole seconds apart, divided by ``unit_divisor``."""
-    return (F.unix_seconds(later) - F.unix_seconds(earlier)) / F.lit(unit_divisor)
-
-
 def on_day(ts: Column, day: str) -> Column:
     """Day equality as a half-open range, which reaches the Parquet scan."""
     start = F.lit(day).cast("date").cast("timestamp")

@@ -21,13 +21,18 @@ def whole_number(text: Column, data_type: str) -> Column:
     return F.coalesce(text.try_cast(data_type), whole.try_cast(data_type))
 
 
+def finite(number: Column) -> Column:
+    """NULL instead of NaN and the infinities, which would spoil every sum they enter."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def typed(name: str) -> Column:
     """The cast of one raw field; NULL where the text does not fit."""
     text, data_type = F.col(name), TRANSACTION_SCHEMA[name].dataType.simpleString()
     if name == "tx_datetime":
         return F.try_to_timestamp(repair_midnight(text))
     if name == "tx_amount":
-        return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+        return finite(text.try_cast("double"))
     return whole_number(text, data_type)
 
 

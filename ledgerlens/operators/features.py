@@ -46,11 +46,14 @@ def transaction_features(
     weekend_days: Iterable[int] = WEEKEND,
     unit_divisor: float = 1.0,
     policy: HotKeys = DEFAULT,
+    complete: bool = True,
 ) -> DataFrame:
-    """All running features of customer and terminal; rows with any NULL or NaN are dropped.
+    """All running features of customer and terminal.
 
-    That drops the first transaction of each customer and of each terminal, which have no spread yet.
+    ``complete`` drops rows in which a feature is NULL or NaN: the first transactions of each customer and of
+    each terminal, which have no spread yet. Other columns may be NULL, such as a label still to come.
     """
     features = customer_features(df, unit_divisor=unit_divisor, policy=policy)
     features = terminal_features(features, policy=policy, source=df)
-    return features.withColumn("is_weekend", is_weekend(F.col("tx_datetime"), weekend_days)).dropna()
+    features = features.withColumn("is_weekend", is_weekend(F.col("tx_datetime"), weekend_days))
+    return features.dropna(subset=[*FEATURES, "is_weekend"]) if complete else features

@@ -90,6 +90,12 @@ def summary_of(runs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def before_run(runs: DataFrame, experiment: str, run_id: str) -> DataFrame:
-    """``(metric, mean, std)`` of the newest other run of an experiment; empty for a first run."""
+    """``(metric, mean, std)`` of the run of an experiment before this one; empty for a first run.
+
+    A run that is not logged yet counts as the newest.
+    """
+    own = runs.filter((F.col("experiment") == experiment) & (F.col("run_id") == run_id))
+    began = own.agg(F.min("start_time").alias("_began"))  # one row
     others = runs.filter((F.col("experiment") == experiment) & (F.col("run_id") != run_id))
+    others = others.join(F.broadcast(began), F.col("_began").isNull() | (F.col("start_time") < F.col("_began"))).drop("_began")
     return summary_of(others, nth_newest_run(others, 1)).select("metric", "mean", "std")

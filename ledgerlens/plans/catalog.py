@@ -414,8 +414,8 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _features_and_training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    table = materialize(features.transaction_features(transactions(spark, sf_dir)), "features")
-    return table, sampling.split(table)[0]
+    table = materialize(features.transaction_features(transactions(spark, sf_dir), complete=False), "features")
+    return table, sampling.split(table.dropna(subset=features.FEATURES))[0]
 
 
 def _batch_scores(spark: SparkSession, sf_dir: str, classifier) -> DataFrame:
@@ -436,7 +436,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = modeling.fit(training, modeling.forest())
     lines = messages.encode(transactions(spark, sf_dir)).select("value")
     scored = jobs.scored_messages(_message_stream(spark, lines), model)
-    return jobs.run_to_table(scored, "scored").select("transaction_id", "prediction", "probability")
+    return jobs.run_to_table(scored, "scored").select("transaction_id", "prediction", "probability", "unscored")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

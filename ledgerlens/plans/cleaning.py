@@ -17,9 +17,13 @@ def clean_daily_text(
     replace: bool = True,
     globally_sorted: bool = False,
 ) -> None:
-    """Clean all text files below ``source`` into ``target``; bad rows go to ``rejected`` if given."""
+    """Clean all text files below ``source`` into ``target``; bad rows go to ``rejected`` if given.
+
+    Both keep the days that do not occur in ``source``.
+    """
     raw = read_raw(spark, source)
     write = overwrite_days if replace else write_new
     write(clean(raw), target, globally_sorted)
     if rejected:
-        quarantine(raw).write.mode("overwrite").partitionBy("defect").parquet(rejected)
+        replaced = quarantine(raw).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        replaced.partitionBy("file_day", "defect").parquet(rejected)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
@@ -11,6 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.features import FEATURES
 
@@ -46,8 +48,19 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*df.columns, "prediction", vector_to_array("probability")[1].alias("probability"))
 
 
+def predict_all(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``predict`` for every row: one without complete features has no prediction and ``unscored`` says why."""
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in FEATURES])
+    marked = df.withColumn("_features", F.struct(*FEATURES)).withColumn("_known", known)
+    filled = marked.withColumns({c: F.when(F.col("_known"), F.col(c)).otherwise(0).cast(df.schema[c].dataType) for c in FEATURES})
+    scored = predict(model, filled)
+    kept = [F.col(f"_features.{c}").alias(c) if c in FEATURES else F.col(c) for c in df.columns]
+    told = [F.when(F.col("_known"), F.col(c)).alias(c) for c in ("prediction", "probability")]
+    return scored.select(*kept, *told, F.when(~F.col("_known"), "no_history").alias("unscored"))
+
+
 def predictions(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return predict(model, df).select("transaction_id", "prediction", "probability")
+    return predict_all(model, df).select("transaction_id", "prediction", "probability", "unscored")
 
 
 def save(model: PipelineModel, path: str) -> None:

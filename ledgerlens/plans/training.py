@@ -79,5 +79,9 @@ def train(
 
 
 def score(spark: SparkSession, transactions: DataFrame, model_path: str, policy: HotKeys = DEFAULT) -> DataFrame:
-    """``(transaction_id, prediction, probability)`` for transactions whose history is in the same frame."""
-    return modeling.predictions(modeling.load(model_path), transaction_features(transactions, policy=policy))
+    """``(transaction_id, prediction, probability, unscored)`` of every transaction; its history is in the same frame.
+
+    Without history for all features there is no prediction, and ``unscored`` is ``no_history``.
+    """
+    features = transaction_features(transactions, policy=policy, complete=False)
+    return modeling.predictions(modeling.load(model_path), features)

@@ -35,6 +35,5 @@ RUN_METRICS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()),
 ])
 
-# Text forms of a timestamp: in the daily files, and in stream messages.
-FILE_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+# The text form of a timestamp in stream messages.
 MESSAGE_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss"

@@ -24,8 +24,10 @@ def landing_plan(files: DataFrame, source_prefix: str, target_prefix: str) -> Da
 def land(spark: SparkSession, source: str, target: str, glob: str = "*.txt") -> None:
     """Copy the lines of all matching files to ``target``, one folder per day of the file's path.
 
-    No shuffle: each task writes what it read.
+    Days that occur in ``source`` are replaced, the others stay. No shuffle: each task writes what it read.
     """
     lines = read_lines(spark, source, glob)
     day = F.coalesce(day_of_path(F.col("_metadata.file_path")).cast("string"), F.lit("unknown"))
-    lines.select("value", day.alias("source_day")).write.mode("overwrite").partitionBy("source_day").text(target)
+    lines.select("value", day.alias("source_day")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("source_day").text(target)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from ..operators.features import FEATURES
-from ..plans.modeling import predict
+from ..plans.modeling import predict_all
 from ..schemas import MESSAGE_TIMESTAMP
 from ..session import STATE_STORE, scratch_path, use_utc
 from ..sources.tables import list_files, total_size
@@ -33,10 +34,9 @@ def state_session(spark: SparkSession, path: str, bytes_per_partition: int = 64
 def scored_messages(messages: DataFrame, model: PipelineModel, ttl_ms: int | None = None) -> DataFrame:
     """Decode, add the running features from keyed state, score.
 
-    A key's first transaction has no spread yet and is not scored, as in batch.
+    A key's first transactions have no spread yet: they come without a prediction and with the reason, as in batch.
     """
-    features = transaction_state(usable(decode(messages)), ttl_ms)
-    return predict(model, features.dropna(subset=FEATURES))
+    return predict_all(model, transaction_state(usable(decode(messages)), ttl_ms))
 
 
 def joined_state(transactions: DataFrame, delay: str = "1 hour", source: DataFrame | None = None) -> DataFrame:
@@ -73,21 +73,32 @@ def start(
 
 
 def start_scoring(
-    messages: DataFrame, model: PipelineModel, target: str, quarantine: str, checkpoint: str, **options
+    messages: DataFrame,
+    model: PipelineModel,
+    target: str,
+    quarantine: str,
+    checkpoint: str,
+    ttl_ms: int | None = None,
+    **options,
 ) -> list[StreamingQuery]:
-    """Scored messages as JSON lines in ``target``, unusable ones in ``quarantine``."""
+    """Scored messages as JSON lines in ``target``, unusable ones in ``quarantine``; ``ttl_ms`` bounds the state."""
     return [
-        start(scored_messages(messages, model), target, f"{checkpoint}/scored", **options),
+        start(scored_messages(messages, model, ttl_ms), target, f"{checkpoint}/scored", **options),
         start(rejected(decode(messages)), quarantine, f"{checkpoint}/rejected", **options),
     ]
 
 
 def finish(queries: list[StreamingQuery], seconds: float | None = None) -> None:
-    """Wait for the queries, at most ``seconds`` each, then stop those still running."""
-    for query in queries:
-        try:
-            query.awaitTermination(seconds) if seconds else query.awaitTermination()
-        finally:
+    """Wait for the queries, at most ``seconds`` in all, then stop those still running, also if one fails."""
+    deadline = None if seconds is None else time.monotonic() + seconds
+    try:
+        for query in queries:
+            if deadline is None:
+                query.awaitTermination()
+            else:
+                query.awaitTermination(max(0.001, deadline - time.monotonic()))
+    finally:
+        for query in queries:
             query.stop()
 
 

@@ -66,7 +66,8 @@ def decode(messages: DataFrame) -> DataFrame:
     parsed = messages.select("value", F.from_json("value", f"{fields}, _broken string", _parse_options()).alias("m"))
     at = F.try_to_timestamp(F.col("m.tx_datetime"), F.lit(MESSAGE_TIMESTAMP))
     needed = ["customer_id", "terminal_id", "tx_amount"]
-    incomplete = F.isnan("m.tx_amount") | F.greatest(*[F.col(f"m.{c}").isNull() for c in needed])
+    endless = F.abs("m.tx_amount") >= F.lit(float("inf"))  # NaN, too, which Spark orders last
+    incomplete = F.coalesce(endless, F.lit(False)) | F.greatest(*[F.col(f"m.{c}").isNull() for c in needed])
     error = (
         F.when(F.col("m").isNull() | F.col("m._broken").isNotNull(), "not_json")
         .when(F.col("m.transaction_id").isNull(), "no_id")

@@ -168,3 +168,9 @@ def test_clean_plan_collapses_copies_before_one_shuffle(spark, sf_dir):
     out = plan(cleaning.clean(read_raw(spark, raw_files(spark, sf_dir))))
     assert out.count("Exchange") == 1 and out.count("HashAggregate") == 2
     assert "Python" not in out
+
+
+def test_endless_amounts_are_not_castable(spark):
+    amounts = ["1.5", "Infinity", "-Infinity", "NaN", "1e999"]
+    df = spark.createDataFrame([(a,) for a in amounts], "tx_amount string")
+    assert [r[0] for r in df.select(cleaning.typed("tx_amount")).collect()] == [1.5, None, None, None, None]

@@ -79,5 +79,7 @@ def test_training_job(spark, sf_dir, fresh_path):
     assert read_runs(spark, runs).select("run_id").distinct().count() == 2
     unlabelled = tx.select(*SCORING_SCHEMA.fieldNames())
     scored = training.score(spark, unlabelled, path)
-    assert scored.columns == ["transaction_id", "prediction", "probability"]
-    assert scored.count() == transaction_features(tx).count()
+    assert scored.columns == ["transaction_id", "prediction", "probability", "unscored"]
+    assert scored.count() == tx.count()
+    assert scored.filter("prediction is not null").count() == transaction_features(tx).count()
+    assert scored.filter("(prediction is null) = (unscored = 'no_history')").count() == tx.count() - scored.filter("unscored is null").count()

@@ -61,6 +61,9 @@ def test_landing_keeps_every_line(spark, sf_dir, fresh_path):
     before = sorted(r["value"] for r in text.read_lines(spark, source).collect())
     after = sorted(r["value"] for r in text.read_lines(spark, target).collect())
     assert before == after
+    one_day = sorted(p["path"] for p in tables.list_files(spark, source).collect())[0].rsplit("/", 1)[0]
+    landing.land(spark, one_day, target)  # replaces its day, keeps the others
+    assert sorted(r["value"] for r in text.read_lines(spark, target).collect()) == before
     assert text.read_raw(spark, target).filter("file_day is null").count() == 0
 
 
