@@ -365,48 +365,61 @@ def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.rejected(_decoded(spark, sf_dir)).groupBy("error").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _message_stream(spark: SparkSession, lines: DataFrame) -> DataFrame:
-    path = message_files(spark, lines)
-    return messages.read_message_files(jobs.state_session(spark, path), path)
+# Messages of any age may come in any file, so that everything waits for the end of the input.
+ANY_ORDER = "3650 days"
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All transactions as a decoded message stream."""
+def _message_stream(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, str]:
+    """The messages dealt over files in no order, read in about four micro-batches, and their folder."""
+    files = spark.sparkContext.defaultParallelism
+    path = message_files(spark, lines.repartition(files, "value"))
+    return messages.read_message_files(jobs.state_session(spark), path, max_files=-(-files // 4)), path
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """All transactions as a decoded message stream, and the folder of the messages."""
     lines = messages.encode(transactions(spark, sf_dir)).select("value")
-    return messages.usable(messages.decode(_message_stream(spark, lines)))
+    stream, path = _message_stream(spark, lines)
+    return messages.usable(messages.decode(stream)), path
 
 
 def _state_columns(table: DataFrame) -> DataFrame:
-    added = [c for c in table.columns if c.endswith(("_customer", "_terminal")) or c == "time_since_last_tx"]
+    names = [c for c in table.columns if not c.startswith("late_")]
+    added = [c for c in names if c.endswith(("_customer", "_terminal")) or c == "time_since_last_tx"]
     return presentable(table.select("transaction_id", *added))
 
 
 def stream_customer_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state_columns(jobs.run_to_table(state.customer_state(_stream(spark, sf_dir)), "customer-state"))
+    stream, path = _stream(spark, sf_dir)
+    return _state_columns(jobs.run_to_table(state.customer_state(stream, delay=ANY_ORDER), "customer-state", source=path))
 
 
 def stream_terminal_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state_columns(jobs.run_to_table(state.terminal_state(_stream(spark, sf_dir)), "terminal-state"))
+    stream, path = _stream(spark, sf_dir)
+    return _state_columns(jobs.run_to_table(state.terminal_state(stream, delay=ANY_ORDER), "terminal-state", source=path))
 
 
 def stateful_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state_columns(jobs.run_to_table(state.transaction_state(_stream(spark, sf_dir)), "state"))
+    stream, path = _stream(spark, sf_dir)
+    return _state_columns(jobs.run_to_table(state.transaction_state(stream, delay=ANY_ORDER), "state", source=path))
 
 
 def stateful_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _stream(spark, sf_dir)
-    return _state_columns(jobs.run_to_table(jobs.joined_state(stream), "joined-state"))
+    stream, path = _stream(spark, sf_dir)
+    return _state_columns(jobs.run_to_table(jobs.joined_state(stream, ANY_ORDER), "joined-state", source=path))
 
 
 def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message arrives twice and is kept once."""
+    """Every message arrives twice, its repeat in the same file or another, and is kept once."""
     lines = messages.encode(transactions(spark, sf_dir)).select("value")
-    stream = messages.usable(messages.decode(_message_stream(spark, lines.unionByName(lines))))
-    return presentable(jobs.run_to_table(messages.distinct_messages(stream), "distinct"))
+    repeats = lines.withColumn("value", F.concat("value", F.lit(" ")))
+    stream, _ = _message_stream(spark, lines.unionByName(repeats))
+    return presentable(jobs.run_to_table(messages.distinct_messages(messages.usable(messages.decode(stream))), "distinct"))
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = messages.rejected(messages.decode(_message_stream(spark, broken_messages(transactions(spark, sf_dir)))))
+    stream, _ = _message_stream(spark, broken_messages(transactions(spark, sf_dir)))
+    bad = messages.rejected(messages.decode(stream))
     return jobs.run_to_table(bad, "quarantine").groupBy("error").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -435,8 +448,9 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, training = _features_and_training(spark, sf_dir)
     model = modeling.fit(training, modeling.forest())
     lines = messages.encode(transactions(spark, sf_dir)).select("value")
-    scored = jobs.scored_messages(_message_stream(spark, lines), model)
-    return jobs.run_to_table(scored, "scored").select("transaction_id", "prediction", "probability", "unscored")
+    stream, path = _message_stream(spark, lines)
+    scored = jobs.scored_messages(stream, model, delay=ANY_ORDER)
+    return jobs.run_to_table(scored, "scored", source=path).select("transaction_id", "prediction", "probability", "unscored")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -37,3 +37,6 @@ RUN_METRICS_SCHEMA = T.StructType([
 
 # The text form of a timestamp in stream messages.
 MESSAGE_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss"
+
+# The time of the message that ends a finite stream; no transaction is as late.
+END_OF_INPUT = "2200-01-01T00:00:00"

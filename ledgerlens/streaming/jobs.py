@@ -13,44 +13,50 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from ..plans.modeling import predict_all
 from ..schemas import MESSAGE_TIMESTAMP
 from ..session import STATE_STORE, scratch_path, use_utc
-from ..sources.tables import list_files, total_size
-from .messages import decode, distinct_messages, rejected, usable
-from .state import customer_state, terminal_state, transaction_state
+from .messages import decode, rejected, usable, write_end
+from .state import DELAY, customer_state, terminal_state, transaction_state
 
 
-def state_session(spark: SparkSession, path: str, bytes_per_partition: int = 64 * 2**20) -> SparkSession:
-    """A session for one stateful query over the files of ``path``, with state partitions by their size.
+def state_session(spark: SparkSession, keys: int = 0, keys_per_partition: int = 1_000_000) -> SparkSession:
+    """A session for one stateful query, with state partitions for about so many ``keys``.
 
-    The number of state partitions is fixed for the life of a query, so it follows the data and not the
-    setting for batch shuffles: at least one per core, more as the input grows.
+    Their number is fixed for the life of a query. State grows with the keys and not with the input, so the
+    default is one partition per core and more only for more keys than a million a core.
     """
-    size = total_size(list_files(spark, path)).first()["bytes"]
     session = use_utc(spark.newSession())
-    partitions = max(spark.sparkContext.defaultParallelism, size // bytes_per_partition)
+    partitions = max(spark.sparkContext.defaultParallelism, -(-keys // keys_per_partition))
     session.conf.set("spark.sql.shuffle.partitions", partitions)
     return session
 
 
-def scored_messages(messages: DataFrame, model: PipelineModel, ttl_ms: int | None = None) -> DataFrame:
+def scored_messages(
+    messages: DataFrame, model: PipelineModel, ttl_ms: int | None = None, delay: str = DELAY
+) -> DataFrame:
     """Decode, add the running features from keyed state, score.
 
-    A key's first transactions have no spread yet: they come without a prediction and with the reason, as in batch.
+    Messages are scored in event-time order, once the watermark, ``delay`` behind the newest, has passed them.
+    A key's first transactions have no spread yet and late ones no features: they come without a prediction and
+    with the reason, as in batch. Repeats that wait together are scored once; a repeat of an answered message is late.
     """
-    return predict_all(model, transaction_state(usable(decode(messages)), ttl_ms))
+    features = transaction_state(usable(decode(messages)), ttl_ms, delay)
+    scored = predict_all(model, features)
+    reason = F.when(F.col("late_customer") | F.col("late_terminal"), "late").otherwise(F.col("unscored"))
+    return scored.withColumn("unscored", reason).drop("late_customer", "late_terminal")
 
 
-def joined_state(transactions: DataFrame, delay: str = "1 hour", source: DataFrame | None = None) -> DataFrame:
+def joined_state(transactions: DataFrame, delay: str = DELAY, source: DataFrame | None = None) -> DataFrame:
     """Customer and terminal features computed on two branches and joined per transaction.
 
-    The watermarks bound the join's state. ``transaction_state`` gives the same rows without a join.
+    Both branches release a transaction in the same micro-batch. The join's state is bounded by the time of
+    release, so late rows pass, too. ``transaction_state`` gives the same rows without a join.
     """
-    left = customer_state(transactions.withWatermark("tx_datetime", delay), None)
-    right = terminal_state((transactions if source is None else source).withWatermark("tx_datetime", delay), None)
+    left = customer_state(transactions, delay=delay, released="_released")
+    right = terminal_state(transactions if source is None else source, delay=delay, released="_released_too")
     right = right.select(
-        F.col("transaction_id").alias("_id"), F.col("tx_datetime").alias("_time"), *[c for c in right.columns if c.endswith("_terminal")]
+        F.col("transaction_id").alias("_id"), "_released_too", *[c for c in right.columns if c.endswith("_terminal")]
     )
-    same = (F.col("transaction_id") == F.col("_id")) & (F.col("tx_datetime") == F.col("_time"))
-    return left.join(right, same, "inner").drop("_id", "_time")
+    same = (F.col("transaction_id") == F.col("_id")) & (F.col("_released") == F.col("_released_too"))
+    return left.join(right, same, "inner").drop("_id", "_released", "_released_too")
 
 
 def start(
@@ -79,11 +85,12 @@ def start_scoring(
     quarantine: str,
     checkpoint: str,
     ttl_ms: int | None = None,
+    delay: str = DELAY,
     **options,
 ) -> list[StreamingQuery]:
     """Scored messages as JSON lines in ``target``, unusable ones in ``quarantine``; ``ttl_ms`` bounds the state."""
     return [
-        start(scored_messages(messages, model, ttl_ms), target, f"{checkpoint}/scored", **options),
+        start(scored_messages(messages, model, ttl_ms, delay), target, f"{checkpoint}/scored", **options),
         start(rejected(decode(messages)), quarantine, f"{checkpoint}/rejected", **options),
     ]
 
@@ -102,11 +109,17 @@ def finish(queries: list[StreamingQuery], seconds: float | None = None) -> None:
             query.stop()
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drain a stream into a Parquet table in the shared folder and return the table."""
+def run_to_table(df: DataFrame, name: str, mode: str = "append", source: str | None = None) -> DataFrame:
+    """Drain a stream into a Parquet table in the shared folder and return the table.
+
+    With ``source``, the folder of its messages, the input is ended after that, so that buffers are drained, too.
+    """
     spark: SparkSession = df.sparkSession
     target, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
     finish([start(df, target, checkpoint, format="parquet", mode=mode)])
+    if source:
+        write_end(spark, source)
+        finish([start(df, target, checkpoint, format="parquet", mode=mode)])
     return spark.read.schema(df.schema).parquet(target)
 
 

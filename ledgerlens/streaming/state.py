@@ -1,72 +1,179 @@
-"""Keyed state on a stream: running statistics of a customer's or terminal's amounts.
+"""Keyed state on a stream: running statistics of a customer's or terminal's amounts, in event-time order.
 
 A row window is not available on a stream, so each key keeps count, mean and the sum of squared
-distances from the mean, which do not cancel as a plain sum of squares would. A micro-batch is
-processed in time order; between micro-batches arrival order counts. A key receives at most one
-micro-batch of rows at a time, whose size the caps of the source bound.
+distances from the mean, which do not cancel as a plain sum of squares would. Rows wait in the key's
+buffer until the watermark has passed their time, and are then answered in order of time and id, equal
+times as peers, as in the batch windows. So the result does not depend on how the input was cut into
+micro-batches. No row is dropped: one that comes after later rows of its key were answered is *late*; it
+is returned without statistics and leaves the state as it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..schemas import END_OF_INPUT
+
 _STATE = T.StructType([
     T.StructField("count", T.LongType()),
     T.StructField("mean", T.DoubleType()),
     T.StructField("m2", T.DoubleType()),
-    T.StructField("last_time", T.TimestampType()),
+    T.StructField("last_us", T.LongType()),
+    T.StructField("next_us", T.LongType()),
 ])
+_CHUNK = T.StructType([T.StructField("rows", T.BinaryType())])
+DELAY = "1 hour"
+
+
+def in_event_time(stream: DataFrame, delay: str = DELAY) -> DataFrame:
+    """The stream with a watermark, which trails the newest time by ``delay``, but without its marked column.
+
+    Spark's operators drop rows behind the watermark where they see the marked column. Here the state
+    function itself decides what is late. The message that ends a finite input moves the watermark only.
+    """
+    marked = stream.withColumn("_event_time", F.col("tx_datetime")).withWatermark("_event_time", delay)
+    # On the marked column, so that the filter is not moved below the watermark.
+    return marked.filter(F.col("_event_time") < F.lit(END_OF_INPUT).cast("timestamp")).drop("_event_time")
+
+
+def _microseconds(times: pd.Series) -> np.ndarray:
+    return times.to_numpy().astype("datetime64[us]").astype("int64")
 
 
 class RunningAmounts(StatefulProcessor):
     """Adds running mean, count, deviation and variance, and for customers the gap, to every row."""
 
-    def __init__(self, suffix: str, gap: bool, ttl_ms: int | None, columns: list[str]):
-        self.suffix, self.gap, self.ttl_ms, self.columns = suffix, gap, ttl_ms, columns
+    def __init__(self, suffix: str, gap: bool, ttl_ms: int | None, schema: T.StructType, released: str | None):
+        self.suffix, self.gap, self.ttl_ms, self.released = suffix, gap, ttl_ms, released
+        fields = [(f.name, to_arrow_type(f.dataType, timestamp_utc=False)) for f in schema.fields]
+        self.columns, self.rows = schema.names, pa.schema(fields)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("running", _STATE, self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("running", _STATE)
+        self.waiting = handle.getListState("waiting", _CHUNK)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.state.get() if self.state.exists() else None
-        count, mean, m2, last = known if known is not None else (0, 0.0, 0.0, None)
-        chunks = list(rows)
-        batch = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        order = np.lexsort((batch["transaction_id"].to_numpy(), batch["tx_datetime"].to_numpy()))
-        if (order[1:] < order[:-1]).any():
-            batch = batch.take(order)
-
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        known = self.state.get() if self.state.exists() else (0, 0.0, 0.0, None, None)
+        due, first = [], known[4]
+        for chunk in rows:
+            times = _microseconds(chunk["tx_datetime"])
+            ripe = times <= passed
+            if ripe.any():
+                due.append(chunk[ripe])
+            if not ripe.all():
+                self._wait(chunk[~ripe])
+                earliest = int(times[~ripe].min())
+                first = earliest if first is None else min(first, earliest)
+        yield from self._advance(known, due, first, passed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.state.exists():
+            known = self.state.get()
+            yield from self._advance(known, [], known[4], timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def _wait(self, rows: pd.DataFrame) -> None:
+        batch = pa.RecordBatch.from_pandas(rows, schema=self.rows, preserve_index=False)
+        self.waiting.appendValue((batch.serialize().to_pybytes(),))
+
+    def _advance(self, known: tuple, due: list[pd.DataFrame], first: int | None, passed: int) -> Iterator[pd.DataFrame]:
+        """Answer what the watermark has passed, keep the rest, and ask to be called when more is due."""
+        next_us = first
+        if first is not None and first <= passed:
+            held = [pa.ipc.read_record_batch(pa.py_buffer(c[0]), self.rows).to_pandas() for c in self.waiting.get()]
+            self.waiting.clear()
+            held = held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+            times = _microseconds(held["tx_datetime"])
+            ripe = times <= passed
+            due, next_us = [*due, held[ripe]], None
+            if not ripe.all():
+                self._wait(held[~ripe])
+                next_us = int(times[~ripe].min())
+        count, mean, m2, last = known[:4]
+        if due:
+            rows = due[0] if len(due) == 1 else pd.concat(due, ignore_index=True)
+            (count, mean, m2, last), answered = self._answer((count, mean, m2, last), rows, passed)
+            yield answered
+        if self.ttl_ms and next_us is None and last is not None and last + self.ttl_ms * 1000 <= passed:
+            self.state.clear()
+            return
+        self.state.update((count, mean, m2, last, next_us))
+        if next_us is not None and next_us != known[4]:
+            self._call_at(next_us)
+        elif self.ttl_ms and next_us is None:
+            self._call_at(last + self.ttl_ms * 1000)
+
+    def _call_at(self, time_us: int) -> None:
+        self.handle.registerTimer(-(-time_us // 1000))
+
+    def _answer(self, known: tuple, rows: pd.DataFrame, passed: int) -> tuple[tuple, pd.DataFrame]:
+        count, mean, m2, last = known
+        times, ids = _microseconds(rows["tx_datetime"]), rows["transaction_id"].to_numpy()
+        order = np.lexsort((ids, times))
+        times, ids = times[order], ids[order]
+        # A repeated message has the id and time of its first.
+        once = np.append(True, (times[1:] != times[:-1]) | (ids[1:] != ids[:-1]))
+        order, times = order[once], times[once]
+        batch = rows.take(order)
+        late = np.full(len(times), False) if last is None else times <= last
+        on_time = np.flatnonzero(~late)
+        means, counts, m2s, gaps = (np.full(len(times), np.nan) for _ in range(4))
         amounts = batch["tx_amount"].to_numpy(dtype="float64")
-        origin = mean if count else amounts[0]
-        shifted = amounts - origin
-        sums, squares = np.cumsum(shifted), np.cumsum(shifted * shifted)
-        counts = count + np.arange(1, len(amounts) + 1)
-        m2s = np.maximum(m2 + squares - sums * sums / counts, 0.0)
-        means = origin + sums / counts
+        for part, forgotten in self._spells(on_time, times, last):
+            if forgotten:
+                count, mean, m2, last = 0, 0.0, 0.0, None
+            at, origin = times[part], mean if count else amounts[part[0]]
+            shifted = amounts[part] - origin
+            sums, squares = np.cumsum(shifted), np.cumsum(shifted * shifted)
+            # Rows of one instant see each other.
+            peers = np.searchsorted(at, at, side="right") - 1
+            total = count + np.arange(1, len(part) + 1)
+            spread = np.maximum(m2 + squares - sums * sums / total, 0.0)
+            centre = origin + sums / total
+            counts[part], means[part], m2s[part] = total[peers], centre[peers], spread[peers]
+            whole = (at // 1_000_000).astype("float64")
+            gaps[part] = np.diff(whole, prepend=np.nan if last is None else last // 1_000_000)
+            count, mean, m2, last = int(total[-1]), float(centre[-1]), float(spread[-1]), int(at[-1])
+        known = count, mean, m2, last
 
         result = {c: batch[c].array for c in self.columns}
         result[f"avg_tx_amount_{self.suffix}"] = means
-        result[f"tx_count_{self.suffix}"] = counts
+        result[f"tx_count_{self.suffix}"] = pd.array(counts, dtype="Int64") if late.any() else counts.astype("int64")
         deviations = np.full(len(counts), np.nan)
         np.divide(m2s, counts - 1, out=deviations, where=counts > 1)
         result[f"sd_tx_amount_{self.suffix}"] = np.sqrt(deviations)
         result[f"var_pop_tx_amount_{self.suffix}"] = m2s / counts
         if self.gap:
-            seconds = batch["tx_datetime"].to_numpy().astype("datetime64[s]").astype("int64")
-            gaps = np.full(len(seconds), np.nan)
-            gaps[1:] = np.diff(seconds)
-            if last is not None:
-                gaps[0] = seconds[0] - np.datetime64(last, "s").astype("int64")
             result["time_since_last_tx"] = gaps
-        newest = batch["tx_datetime"].iloc[-1].to_pydatetime()
-        self.state.update((int(counts[-1]), float(means[-1]), float(m2s[-1]), newest))
-        yield pd.DataFrame(result, copy=False)
+        result[f"late_{self.suffix}"] = late
+        if self.released:
+            # Later than all that the last micro-batch released, the same for every row that this one releases.
+            at = datetime.fromtimestamp(passed / 1e6, timezone.utc).replace(tzinfo=None)
+            result[self.released] = np.full(len(times), np.datetime64(at, "ns") + np.timedelta64(1, "ms"))
+        return known, pd.DataFrame(result, copy=False)
+
+    def _spells(self, on_time: np.ndarray, times: np.ndarray, last: int | None) -> Iterator[tuple[np.ndarray, bool]]:
+        """The rows, cut where the key was not seen for longer than it is remembered, and whether it was forgotten."""
+        if not len(on_time):
+            return
+        starts = np.array([], dtype="int64")
+        if self.ttl_ms:
+            waits = np.diff(times[on_time], prepend=times[on_time[0]] if last is None else last)
+            starts = np.flatnonzero(waits > self.ttl_ms * 1000)
+        for i, part in enumerate(np.split(on_time, starts)):
+            if len(part):
+                yield part, i > 0
 
     def close(self) -> None:
         pass
@@ -79,14 +186,13 @@ def running_amounts(
     gap: bool = False,
     ttl_ms: int | None = None,
     output_mode: str = "update",
+    released: str | None = None,
 ) -> DataFrame:
-    """All columns of the stream plus the running features of ``key``.
+    """All columns of a stream ``in_event_time``, the running features of ``key``, and whether the row was late.
 
-    State is kept without limit unless ``ttl_ms`` forgets a key not seen for that long. With a limit,
-    Spark runs empty batches to expire keys, so such a query needs a processing-time trigger and never
-    ends by itself under ``availableNow``.
+    State is kept without limit unless ``ttl_ms`` is given: a key not seen for longer starts anew, and its state
+    goes once the watermark is that far past its newest row. ``released`` names a column for the time of release, which operators that follow may take as watermark.
     """
-    columns = stream.columns
     added = [
         T.StructField(f"avg_tx_amount_{suffix}", T.DoubleType()),
         T.StructField(f"tx_count_{suffix}", T.LongType()),
@@ -95,22 +201,30 @@ def running_amounts(
     ]
     if gap:
         added.append(T.StructField("time_since_last_tx", T.DoubleType()))
+    added.append(T.StructField(f"late_{suffix}", T.BooleanType()))
+    if released:
+        added.append(T.StructField(released, T.TimestampType()))
     return stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, columns),
+        statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, stream.schema, released),
         outputStructType=T.StructType([*stream.schema.fields, *added]),
-        outputMode=output_mode,
-        timeMode="ProcessingTime" if ttl_ms else "None",
+        outputMode="append" if released else output_mode,
+        timeMode="EventTime",
+        eventTimeColumnName=released or "",
     )
 
 
-def customer_state(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    return running_amounts(stream, "customer_id", "customer", gap=True, ttl_ms=ttl_ms)
+def customer_state(stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY, released: str | None = None) -> DataFrame:
+    timed = in_event_time(stream, delay)
+    return running_amounts(timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released)
 
 
-def terminal_state(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    return running_amounts(stream, "terminal_id", "terminal", ttl_ms=ttl_ms)
+def terminal_state(stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY, released: str | None = None) -> DataFrame:
+    return running_amounts(in_event_time(stream, delay), "terminal_id", "terminal", ttl_ms=ttl_ms, released=released)
 
 
-def transaction_state(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Customer state, then terminal state, on the same rows: no join is needed."""
-    return terminal_state(customer_state(stream, ttl_ms), ttl_ms)
+def transaction_state(stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY) -> DataFrame:
+    """Customer state, then terminal state, on the same rows: no join is needed.
+
+    What the first step releases is due in the second, in the same micro-batch.
+    """
+    return running_amounts(customer_state(stream, ttl_ms, delay), "terminal_id", "terminal", ttl_ms=ttl_ms)

@@ -14,11 +14,11 @@ from ledgerlens.session import materialize, scratch_path
 from ledgerlens.streaming import jobs, messages, state
 
 
-def text_files(spark, path, batches):
-    """One file per batch of message texts, in order of modification time."""
+def text_files(spark, path, batches, pause=1.05):
+    """One file per batch of message texts, with a pause in order of modification time."""
     for texts in batches:
         spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").text(path)
-        time.sleep(1.05)
+        time.sleep(pause)
     return path
 
 
@@ -73,30 +73,87 @@ def test_first_n(spark, sf_dir, fresh_path):
     assert sorted(sent) == [0, 1, 2, 3, 4]
 
 
-def test_state_over_several_batches_equals_batch_windows(spark, sf_dir, fresh_path):
-    tx = transactions(spark, sf_dir).withColumn("tx_datetime", F.date_trunc("second", "tx_datetime"))
-    rows = messages.encode(tx.orderBy("tx_datetime")).collect()
-    step = len(rows) // 4 + 1
-    path = text_files(spark, fresh_path("in"), [[r["value"] for r in rows[i : i + step]] for i in range(0, len(rows), step)])
+STATE = ["avg_tx_amount_customer", "tx_count_customer", "sd_tx_amount_customer", "var_pop_tx_amount_customer",
+         "time_since_last_tx", "avg_tx_amount_terminal", "tx_count_terminal", "sd_tx_amount_terminal",
+         "var_pop_tx_amount_terminal"]
+
+
+def message(i, clock, customer=1, terminal=2, amount=3.5):
+    return (
+        f'{{"transaction_id":{i},"tx_datetime":"2024-01-01T{clock}","customer_id":{customer},'
+        f'"terminal_id":{terminal},"tx_amount":{amount}}}'
+    )
+
+
+def drained(spark, path, operator):
     stream = messages.usable(messages.decode(messages.read_message_files(spark, path, max_files=1)))
-    ours = jobs.run_to_table(state.transaction_state(stream), "state")
+    return jobs.run_to_table(operator(stream), "state", source=path)
+
+
+@pytest.mark.parametrize("batches", [1, 4, 20])
+def test_state_does_not_depend_on_micro_batches(spark, sf_dir, fresh_path, batches):
+    """Rows in no order, most of them seconds apart from the rows of other files, some of one instant."""
+    tx = transactions(spark, sf_dir).withColumn("tx_datetime", F.date_trunc("hour", "tx_datetime"))
+    rows = [r["value"] for r in messages.encode(tx.orderBy(F.xxhash64("transaction_id"))).collect()]
+    path = text_files(spark, fresh_path("in"), [rows[i::batches] for i in range(batches)], pause=0)
+    ours = drained(spark, path, lambda s: state.transaction_state(s, delay="3650 days"))
     batch = windows.running_features(tx, ["customer_id"], "customer", gap=True, population_variance=True)
     batch = windows.running_features(batch, ["terminal_id"], "terminal", population_variance=True, source=tx)
-    columns = [c for c in batch.columns if c not in tx.columns]
-    left, right = by_id(ours, *columns), by_id(batch, *columns)
+    left, right = by_id(ours, *STATE), by_id(batch, *STATE)
+    assert len(left) == ours.count() == len(rows) and ours.where("late_customer or late_terminal").isEmpty()
     assert left.keys() == right.keys()
     for i in left:
         assert all(close(a, b) for a, b in zip(left[i], right[i])), (left[i], right[i])
 
 
-def test_state_that_expires_runs(spark, fresh_path):
-    path = text_files(spark, fresh_path("in"), [[GOOD]])
-    stream = messages.usable(messages.decode(messages.read_message_files(spark, path)))
-    expiring, target = state.terminal_state(stream, ttl_ms=60_000), scratch_path(spark, "ttl-out")
-    query = jobs.start(expiring, target, scratch_path(spark, "ttl"), "parquet", {"processingTime": "1 second"})
-    jobs.finish([query], seconds=15)
-    out = spark.read.schema(expiring.schema).parquet(target)
-    assert by_id(out, "tx_count_terminal", "sd_tx_amount_terminal") == {7: (1, None)}
+@pytest.mark.parametrize("delay", ["0 seconds", "1 hour", "2 days"])
+def test_kept_rejected_and_late_are_the_input(spark, sf_dir, fresh_path, delay):
+    tx = transactions(spark, sf_dir)
+    rows = [r["value"] for r in broken_messages(tx.orderBy(F.xxhash64("transaction_id"))).collect()]
+    path = text_files(spark, fresh_path("in"), [rows[i::4] for i in range(4)], pause=0)
+    ours = drained(spark, path, lambda s: state.transaction_state(s, delay=delay))
+    decoded_rows = messages.decode(spark.createDataFrame([(v,) for v in rows], "value string"))
+    assert ours.count() + messages.rejected(decoded_rows).count() == len(rows)
+    late = ours.where("late_customer")
+    assert not late.isEmpty() and late.where("tx_count_customer is not null or avg_tx_amount_customer is not null").isEmpty()
+    kept = ours.where("not late_customer")
+    assert kept.where("tx_count_customer is null or time_since_last_tx < 0").isEmpty()
+    newest = kept.groupBy("customer_id").agg(F.max("tx_count_customer").alias("n"), F.count(F.lit(1)).alias("rows"))
+    assert newest.where("n <> rows").isEmpty()
+
+
+def test_instants_repeats_and_late_rows(spark, fresh_path):
+    first = [message(3, "10:00:00", amount=6), message(1, "09:00:00", amount=1), message(2, "10:00:00", amount=2)]
+    second = [message(4, "15:00:00"), message(3, "10:00:00", amount=6)]
+    third = [message(5, "10:00:00"), message(6, "09:30:00"), message(7, "14:00:00", customer=9)]
+    fourth = [message(8, "15:00:00", customer=8)]
+    fifth = [message(9, "09:00:00", amount=100), message(4, "15:00:00")]
+    # The second file moves the watermark to 14:00, so the third releases the first, with its own rows.
+    path = text_files(spark, fresh_path("in"), [first, second, third, fourth, fifth])
+    out = drained(spark, path, state.customer_state)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["transaction_id"], []).append((r["tx_count_customer"], r["late_customer"], r["time_since_last_tx"]))
+    assert got == {
+        1: [(1, False, None)],
+        6: [(2, False, 1800.0)],
+        2: [(5, False, 1800.0)],
+        3: [(5, False, 0.0)],
+        5: [(5, False, 0.0)],
+        4: [(6, False, 18000.0)],
+        7: [(1, False, None)],
+        8: [(1, False, None)],
+        9: [(None, True, None)],
+    }
+
+
+def test_state_that_expires(spark, fresh_path):
+    files = [[message(1, "10:00:00")], [message(2, "12:00:00", terminal=3)], [message(3, "13:00:00", terminal=3)],
+             [message(4, "14:00:00")]]
+    for ttl_ms, count in ((None, 2), (60_000, 1)):
+        path = text_files(spark, fresh_path("in"), files)
+        out = drained(spark, path, lambda s: state.terminal_state(s, ttl_ms, "0 seconds"))
+        assert by_id(out, "tx_count_terminal") == {1: (1,), 2: (1,), 3: ((2,) if ttl_ms is None else (1,)), 4: (count,)}
 
 
 def test_joined_state_equals_chained_state(spark, sf_dir):
@@ -105,8 +162,9 @@ def test_joined_state_equals_chained_state(spark, sf_dir):
     def stream():
         return messages.usable(messages.decode(messages.read_message_files(spark, path)))
 
-    chained = jobs.run_to_table(state.transaction_state(stream()), "chained")
-    joined = jobs.run_to_table(jobs.joined_state(stream()), "joined")
+    chained = jobs.run_to_table(state.transaction_state(stream()), "chained", source=path)
+    joined = jobs.run_to_table(jobs.joined_state(stream()), "joined", source=path)
+    assert joined.count() == chained.count() == transactions(spark, sf_dir).count()
     assert sorted(joined.columns) == sorted(chained.columns)
     columns = ["tx_count_customer", "avg_tx_amount_customer", "tx_count_terminal", "avg_tx_amount_terminal"]
     assert by_id(joined, *columns) == by_id(chained, *columns)
@@ -134,13 +192,17 @@ def test_scoring_loses_nothing_and_restarts_without_copies(spark, sf_dir, fresh_
     assert rejected == unusable
     assert seen >= 600  # both queries read the 300 messages
     assert 0 < len(scored) <= 300 - unusable
-    assert {"transaction_id", "tx_datetime", "prediction"} <= set(scored[0])
+    assert {"transaction_id", "tx_datetime"} <= set(scored[0])
     datetime.strptime(scored[0]["tx_datetime"], "%Y-%m-%dT%H:%M:%S")
     _, again, still = run()
     assert len(again) == len(scored) and still == rejected
     text_files(spark, source, [[GOOD.replace('"transaction_id":7', '"transaction_id":100007')]])
     _, more, _ = run()
     assert len({r["transaction_id"] for r in more}) == len(more) >= len(scored)
+    messages.write_end(spark, source)
+    _, every, rejected = run()
+    assert len({r["transaction_id"] for r in every}) == len(every) == 301 - unusable and rejected == unusable
+    assert {r.get("unscored") for r in every if "prediction" not in r} <= {"no_history", "late"}
 
 
 def test_repeated_messages_are_dropped(spark, fresh_path):
