@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -453,6 +454,53 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_to_table(scored, "scored", source=path).select("transaction_id", "prediction", "probability", "unscored")
 
 
+def assembled_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vector that the classifier gets, as columns: the fitted assembler and scaler over all complete rows."""
+    table, training = _features_and_training(spark, sf_dir)
+    model = modeling.fit(training, modeling.logistic(1))
+    scaled = table.dropna(subset=features.FEATURES)
+    for stage in model.stages[:2]:
+        scaled = stage.transform(scaled)
+    values = vector_to_array("scaled")
+    return presentable(scaled.select("transaction_id", *[values[i].alias(c) for i, c in enumerate(features.FEATURES)]))
+
+
+def forest_scores_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction: whether it has a score, whether the stored forest gives the same and cuts at a half."""
+    table, training = _features_and_training(spark, sf_dir)
+    model = modeling.fit(training, modeling.forest())
+    path = scratch_path(spark, "forest")
+    modeling.save(model, path)
+    stored = modeling.predictions(modeling.load(path), table)
+    stored = stored.select("transaction_id", F.col("prediction").alias("_p"), F.col("probability").alias("_q"))
+    both = modeling.predict_all(model, table).join(stored, "transaction_id")
+    return both.select(
+        "transaction_id",
+        "tx_fraud",
+        F.col("unscored").isNull().alias("scored"),
+        (F.col("prediction").eqNullSafe(F.col("_p")) & F.col("probability").eqNullSafe(F.col("_q"))).alias("same_stored"),
+        F.coalesce((F.col("prediction") == 1) == (F.col("probability") > 0.5), F.lit(True)).alias("cut_at_half"),
+    )
+
+
+def stream_scores_as_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction: whether it has a score, and whether stream and batch give the same."""
+    tx = transactions(spark, sf_dir).withColumn("tx_datetime", F.date_trunc("second", "tx_datetime"))
+    table = materialize(features.transaction_features(tx, complete=False), "features")
+    training = sampling.split(table.dropna(subset=features.FEATURES))[0]
+    model = modeling.fit(training, modeling.logistic())
+    stream, path = _message_stream(spark, messages.encode(tx).select("value"))
+    online = jobs.run_to_table(jobs.scored_messages(stream, model, delay=ANY_ORDER), "scored", source=path)
+    online = online.select("transaction_id", F.col("probability").alias("_q"), F.col("unscored").alias("_why"))
+    both = modeling.predictions(model, table).join(online, "transaction_id", "full")
+    apart = F.abs(F.col("probability") - F.col("_q")) > 1e-6
+    return both.select(
+        "transaction_id",
+        F.col("_q").isNotNull().alias("scored"),
+        (F.col("unscored").eqNullSafe(F.col("_why")) & ~F.coalesce(apart, F.lit(False))).alias("same_in_batch"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -515,5 +563,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         forest_scores,
         logistic_scores,
         stream_scores,
+        assembled_scaled,
+        forest_scores_reloaded,
+        stream_scores_as_batch,
     ]
 }

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from ..adapters import TRANSACTIONS_SQL
 from ..functions.hashing import poisson_cutoffs
-from ..operators.features import FEATURES
+
+# The columns of the feature vector, in its order.
+FEATURES = (
+    "tx_amount, time_since_last_tx, avg_tx_amount_customer, tx_count_customer, sd_tx_amount_customer, "
+    "avg_tx_amount_terminal, tx_count_terminal, sd_tx_amount_terminal"
+).split(", ")
 
 TX = f"tx as ({TRANSACTIONS_SQL})"
 
@@ -111,10 +116,13 @@ def trailing(key: str, suffix: str, spans: dict[str, int], what: tuple[str, ...]
     return ", ".join(columns)
 
 
-def scaled(expression: str, aggregates: str) -> str:
+IN_TRAINING = "cast('0x' || substr(md5(concat('42:', transaction_id)), 1, 8) as bigint) / 4294967296.0 < 0.8"
+
+
+def scaled(expression: str, aggregates: str, rows: str = "true") -> str:
     columns = ", ".join(f"{r(expression.format(c=c))} as {c}" for c in FEATURES)
     stats = ", ".join(aggregates.format(c=c) for c in FEATURES)
-    return f"with {FEATURE_TABLE}, stats as (select {stats} from complete) select transaction_id, {columns} from complete, stats"
+    return f"with {FEATURE_TABLE}, stats as (select {stats} from complete where {rows}) select transaction_id, {columns} from complete, stats"
 
 
 def rule(threshold: float, name: str = "scored") -> str:
@@ -326,14 +334,17 @@ ORACLE: dict[str, str] = {
         {', '.join(f'cast(hour(tx_datetime) = {h} as integer) as tx_hour_{h}' for h in range(1, 24))} from tx""",
     "scaled_features_pop": scaled("({c} - m_{c}) / s_{c}", "avg({c}) as m_{c}, stddev_pop({c}) as s_{c}"),
     "scaled_features_std": scaled("{c} / s_{c}", "stddev_samp({c}) as s_{c}"),
+    "assembled_scaled": scaled("{c} / s_{c}", "stddev_samp({c}) as s_{c}", IN_TRAINING),
+    "forest_scores_reloaded": f"""with {FEATURE_TABLE} select transaction_id, tx_fraud,
+        transaction_id in (select transaction_id from complete) as scored, true as same_stored, true as cut_at_half from tx""",
+    "stream_scores_as_batch": f"""with {FEATURE_TABLE} select transaction_id,
+        transaction_id in (select transaction_id from complete) as scored, true as same_in_batch from tx""",
     "undersample": f"""with {TX}, ranked as (
           select *, row_number() over (partition by tx_fraud
                  order by md5(concat('42:', transaction_id)), transaction_id) as place from tx)
         select {shown()} from ranked
         where place <= (select min(n) from (select count(*) as n from tx group by tx_fraud))""",
-    "hash_split": f"""with {TX} select transaction_id,
-        case when cast('0x' || substr(md5(concat('42:', transaction_id)), 1, 8) as bigint) / 4294967296.0 < 0.8
-             then 'train' else 'test' end as part from tx""",
+    "hash_split": f"with {TX} select transaction_id, case when {IN_TRAINING} then 'train' else 'test' end as part from tx",
     "class_counts": f"with {TX} select tx_fraud, count(*) as row_count from tx group by tx_fraud",
     "key_moments": f"""with {TX} select terminal_id, count(*) as tx_count, {r('sum(tx_amount)')} as total_amount,
         {r('sum(tx_amount * tx_amount)')} as sum_of_squares, {r('avg(tx_amount)')} as avg_tx_amount,
