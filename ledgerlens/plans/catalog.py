@@ -465,6 +465,16 @@ def assembled_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentable(scaled.select("transaction_id", *[values[i].alias(c) for i, c in enumerate(features.FEATURES)]))
 
 
+def logistic_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At the optimum without penalty, scores weigh every feature over the training rows as the labels do."""
+    _, training = _features_and_training(spark, sf_dir)
+    model = modeling.fit(training, modeling.logistic().setTol(1e-12))
+    scored = model.transform(training)
+    score, values = vector_to_array("probability")[1], vector_to_array("scaled")
+    weighed = [F.avg(score * values[i]).alias(c) for i, c in enumerate(features.FEATURES)]
+    return presentable(scored.agg(F.count(F.lit(1)).alias("row_count"), F.avg(score).alias("label"), *weighed))
+
+
 def forest_scores_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction: whether it has a score, whether the stored forest gives the same and cuts at a half."""
     table, training = _features_and_training(spark, sf_dir)
@@ -564,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         logistic_scores,
         stream_scores,
         assembled_scaled,
+        logistic_balance,
         forest_scores_reloaded,
         stream_scores_as_batch,
     ]

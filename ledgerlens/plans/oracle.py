@@ -335,6 +335,10 @@ ORACLE: dict[str, str] = {
     "scaled_features_pop": scaled("({c} - m_{c}) / s_{c}", "avg({c}) as m_{c}, stddev_pop({c}) as s_{c}"),
     "scaled_features_std": scaled("{c} / s_{c}", "stddev_samp({c}) as s_{c}"),
     "assembled_scaled": scaled("{c} / s_{c}", "stddev_samp({c}) as s_{c}", IN_TRAINING),
+    "logistic_balance": f"""with {FEATURE_TABLE}, training as (select * from complete where {IN_TRAINING}),
+        stats as (select {', '.join(f'stddev_samp({c}) as s_{c}' for c in FEATURES)} from training)
+        select count(*) as row_count, {r('avg(tx_fraud)')} as label,
+        {', '.join(f"{r(f'avg(tx_fraud * {c} / s_{c})')} as {c}" for c in FEATURES)} from training, stats""",
     "forest_scores_reloaded": f"""with {FEATURE_TABLE} select transaction_id, tx_fraud,
         transaction_id in (select transaction_id from complete) as scored, true as same_stored, true as cut_at_half from tx""",
     "stream_scores_as_batch": f"""with {FEATURE_TABLE} select transaction_id,
