@@ -194,4 +194,56 @@ def _op10_sql() -> str:
       from q, alphabet"""
 
 
-ORACLE: dict[str, str] = {"op5_mixing_to_weights": _op5_sql(), "op10_zip_warc": _op10_sql()}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP2_SQL = f"""
+  with recursive
+  words as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+  shingles as (
+    select distinct doc_id, array_to_string(w[i : i + 4], ' ') as shingle
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+  sets as (select doc_id, count(*) as n, md5(string_agg(shingle, chr(10) order by shingle)) as content from shingles group by doc_id),
+  classes as (select content, any_value(n) as n, min(doc_id) as first_id from sets group by content),
+  members as (select first_id as class, n, shingle from classes join shingles on doc_id = first_id),
+  links as (
+    select a.class as x, b.class as y from members a join members b on a.shingle = b.shingle and a.class < b.class
+    group by a.class, b.class, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+  reach as (
+    select first_id as x, first_id as y from classes
+    union
+    select reach.x, case when reach.y = links.x then links.y else links.x end
+    from reach join links on reach.y in (links.x, links.y)),
+  lowest as (select x, min(y) as component_id from reach group by x)
+  select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id
+  from words left join sets using (doc_id) left join classes using (content, n) left join lowest on first_id = x"""
+
+_OP4_SQL = f"""
+  with docs as (
+    select doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+  items as (
+    select item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+  wanted as (
+    select distinct item_id, least(len(w), 10) as size, array_to_string(w[i : i + 9], ' ') as words
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)),
+  starts as (
+    select doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') as words
+    from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as i
+          from docs cross join (select distinct size from wanted) sizes)),
+  found as (select doc_id, i, size, item_id from starts join wanted using (size, words)),
+  hits as (
+    select doc_id, count(distinct place) as n_hit
+    from (select doc_id, unnest(range(i, i + size)) as place from found) group by doc_id),
+  matched as (
+    select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+    from (select distinct doc_id, cast(item_id as varchar) as item_id from found) group by doc_id)
+  select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+  from docs left join hits using (doc_id) left join matched using (doc_id)"""
+
+#: The others train a model, parse markup or text by rules of their own, or read a vocabulary file.
+ORACLE: dict[str, str] = {
+    "op2_ngram_jaccard_join": _OP2_SQL,
+    "op4_benchmark_decontamination": _OP4_SQL,
+    "op5_mixing_to_weights": _op5_sql(),
+    "op10_zip_warc": _op10_sql(),
+}
