@@ -48,90 +48,6 @@ def test_repeated_runs_go_and_unique_runs_stay(spark):
     assert found[9].startswith("home news") and found[9].endswith("\nalone")
 
 
-def test_repeated_surroundings_inside_articles_go_and_shared_text_stays(spark):
-    notice = "we use cookies to make this site work better for all of our readers"
-    quoted = "to be or not to be that is the question whether it is nobler in the mind"
-    title = "the long title of the only story that every other page links to here"
-
-    def page(i, article, around):
-        own = " ".join(f"p{i}w{j}" for j in range(12))
-        return (i, f"http://h.example/{i}", f"<nav><p>{around}</p><p>menu of {i}</p></nav><article><h1>{i}</h1>{article}<p>{own}</p></article>")
-
-    rows = [page(i, f"<p>{notice}</p><p>{quoted}</p>", title) for i in range(4)]
-    rows[3] = page(3, f"<p>{quoted}</p><p>{notice}</p>", title)
-    rows += [page(i, "", notice) for i in (4, 5)] + [page(6, f"<p>{title}</p>", "none"), page(7, f"<p>{title}</p>", "none")]
-    rows.append((8, "http://other.example/8", f"<article><p>{notice}</p></article>"))
-    found = extracted(spark, rows)
-    assert all(found[i].split("\n")[:-1] == [str(i), quoted] for i in range(4))
-    assert found[8] == notice
-    copies = [(i, "http://h.example/c", f"<nav><p>{notice}</p><p>{i}</p></nav><article><h1>{notice}</h1><p>same text {i}</p></article>") for i in range(3)]
-    assert extracted(spark, copies) == {i: f"{notice}\nsame text {i}" for i in range(3)}
-
-
-def test_array_equals_brute_force(spark):
-    import random
-
-    rng = random.Random(5)
-    stock = [" ".join(rng.choice("abcdef") for _ in range(rng.randint(3, 14))) for _ in range(12)]
-    rows, parts = [], []
-    for i in range(60):
-        around, article = rng.sample(stock, 3), rng.sample(stock, 3) + [f"own words of page {i} " + "x " * (i % 9) + "end"]
-        declared = i % 3 > 0
-        body = "".join(f"<p>{b}</p>" for b in article)
-        side = "".join(f"<p>{b}</p>" for b in around)
-        rows.append((i, f"http://h{i % 2}/", f"<nav>{side}</nav><article>{body}</article>" if declared else f"<nav>{side}</nav><div>{body}</div>"))
-        parts.append((i % 2, declared, article, around if declared else around + article))
-
-    def windows_of(blocks):
-        words = " ".join(blocks).split()
-        return [tuple(words[j : j + 8]) for j in range(len(words) - 7)]
-
-    def repeated(host, run):
-        return len({tuple(p[3]) for p in parts if p[0] == host and run in windows_of(p[3])}) > 1
-
-    before, after = {}, {}
-    for host, declared, article, _ in parts:
-        if not declared:
-            continue
-        words, runs, bounds = " ".join(article).split(), windows_of(article), [0]
-        for b in article:
-            bounds.append(bounds[-1] + len(b.split()))
-        hit = {k for j, run in enumerate(runs) if repeated(host, run) for k in range(j, j + 8)}
-        full = [sum(k in hit for k in range(lo, hi)) >= 0.8 * (hi - lo) for lo, hi in zip(bounds, bounds[1:])]
-        for j, run in enumerate(runs):
-            if not repeated(host, run):
-                continue
-            over = [b for b in range(len(article)) if bounds[b] < j + 8 and bounds[b + 1] > j]
-            if any(full[b] for b in over):
-                b = over[0] if full[over[0]] else over[-1]
-                before.setdefault((host, run), set()).add(words[bounds[b] - 1] if b else "")
-                after.setdefault((host, run), set()).add(words[bounds[b + 1]] if b + 1 < len(article) else " ".join(words))
-    maximal = {(p[0], run): len(before.get((p[0], run), ())) > 1 and len(after.get((p[0], run), ())) > 1 for p in parts for run in windows_of(p[2])}
-
-    def gone(i, block_range):
-        host, declared, article, _ = parts[i]
-        words = " ".join(article).split()
-        hit = set()
-        for j, run in enumerate(windows_of(article)):
-            on = {tuple(p[3]) for p in parts if p[0] == host and run in windows_of(p[3])}
-            if len(on) > 1 and (not declared or maximal[host, run]):
-                hit |= set(range(j, j + 8))
-        assert len(words) >= block_range[1]
-        return sum(k in hit for k in range(*block_range)) >= 0.8 * (block_range[1] - block_range[0])
-
-    expected, dropped = {}, 0
-    for i, (_, _, article, _) in enumerate(parts):
-        at, kept = 0, []
-        for b in article:
-            end = at + len(b.split())
-            if not gone(i, (at, end)):
-                kept.append(" ".join(b.split()))
-            at = end
-        dropped += len(article) - len(kept)
-        expected[i] = "\n".join(kept)
-    assert extracted(spark, rows) == expected and dropped > 20
-
-
 def test_awkward_pages(spark):
     rows = [(1, None, None), (2, "http://[", ""), (3, "u", "<p>a &lt; b</p><p"), (4, "u", "plain"), (4, "u", "plain"), (None, "u", "<nav>x</nav>"), (5, "u", "<p>x " * 20_000)]
     got = extract_text(spark.createDataFrame(rows, PAGE)).collect()
