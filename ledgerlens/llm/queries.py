@@ -11,6 +11,7 @@ from .decontaminate import decontaminate
 from .html_extract import extract_text
 from .jaccard_join import jaccard_components
 from .langid import identify_languages, train_languages
+from .merkle import merkle_manifest, proof_text
 from .mixing import mix
 from .quality_rules import quality_rules, train_quality
 from .secret_scan import BASE_KINDS, scan_secrets
@@ -128,6 +129,15 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows as a later reader finds them: where 7 divides the crc32 of the id as text, ``n_chars`` is one more."""
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    n_chars = F.when(id_remainder(7) == 0, one_more).otherwise(F.col("n_chars").cast("decimal(20,0)"))
+    manifest = merkle_manifest(table(spark, sf_dir, "documents"), found={"n_chars": n_chars})
+    proof = F.sha2(proof_text(F.col("proof")), 256).alias("proof_sha256")
+    return manifest.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -141,9 +151,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scans,
         op9_token_counts,
         op10_zip_warc,
+        op13_merkle_manifest,
     )
 }
 
+
 def _op5_sql() -> str:
     def case(column: str, weights: dict[str, float]) -> str:
         return f"case {column} " + " ".join(f"when '{k}' then {v}" for k, v in weights.items()) + " else 1.0 end"
@@ -240,10 +252,61 @@ _OP4_SQL = f"""
     sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
   from docs left join hits using (doc_id) left join matched using (doc_id)"""
 
+
+def _op13_sql() -> str:
+    def tagged(column: str) -> str:
+        return f"coalesce(strlen(cast({column} as varchar)) || ':' || cast({column} as varchar), '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(concat(" + ", ".join(map(tagged, ("doc_id", "source", "lang", n_chars, "text"))) + "))"
+
+    crc32 = """xor(4294967295::bigint, list_reduce(list_prepend(4294967295::bigint, list_transform(range(strlen(id)), lambda i: ord(id[i + 1])::bigint)),
+      lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, k: xor(x >> 1, case when x & 1 = 1 then 3988292384 else 0 end))))"""
+
+    def tree(nodes: str, leaves: str) -> str:
+        return f"""{nodes}(level, branch, place, size, digest) as (
+          select 0, branch, place, size, digest from {leaves}
+          union all
+          select level + 1, branch, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' order by place))
+          from {nodes} where size > 1 group by level, branch, place // 2, size)"""
+
+    def fold(name: str, start: str, nodes: str) -> str:
+        return f"""{name}(id, subbranch, level, branch, place, size, digest, proof) as (
+          {start}
+          union all
+          select id, subbranch, f.level + 1, f.branch, f.place // 2, (f.size + 1) // 2,
+            case when f.place % 2 = 0 then sha256(f.digest || coalesce(s.digest, '')) else sha256(s.digest || f.digest) end,
+            proof || coalesce(s.digest, '')
+          from {name} f left join {nodes} s on s.level = f.level and s.branch = f.branch and s.place = xor(f.place, 1)
+          where f.size > 1)"""
+
+    return f"""
+      with recursive
+      rows as (
+        select doc_id, coalesce(':' || lang, '-') as branch, {leaf("n_chars")} as digest,
+          case when {crc32} % 7 = 0 then {leaf("n_chars + 1")} else {leaf("n_chars")} end as found
+        from (select *, cast(doc_id as varchar) as id from documents)),
+      leaves as (
+        select *, row_number() over () as id, row_number() over (partition by branch order by doc_id nulls first, digest) - 1 as place,
+          count(*) over (partition by branch) as size from rows),
+      {tree("nodes", "leaves")},
+      subroots as (select branch, digest from nodes where size = 1),
+      ranked as (
+        select branch as name, digest, '' as branch, row_number() over (order by branch) - 1 as place, count(*) over () as size from subroots),
+      {tree("tops", "ranked")},
+      root as (select digest from tops where size = 1),
+      {fold("low", "select id, branch, 0, branch, place, size, found, '' from leaves", "nodes")},
+      {fold("high", "select id, name, 0, r.branch, r.place, r.size, low.digest, proof from low join ranked r on r.name = subbranch where low.size = 1", "tops")}
+      select doc_id, leaves.digest as leaf, subroots.digest as subroot, root.digest as root, sha256(proof) as proof_sha256,
+        high.digest as folded_root, high.digest = root.digest as verified
+      from high join leaves using (id) join subroots on subroots.branch = subbranch, root where high.size = 1"""
+
+
 #: The others train a model, parse markup or text by rules of their own, or read a vocabulary file.
 ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": _OP2_SQL,
     "op4_benchmark_decontamination": _OP4_SQL,
     "op5_mixing_to_weights": _op5_sql(),
     "op10_zip_warc": _op10_sql(),
+    "op13_merkle_manifest": _op13_sql(),
 }
