@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from .jaccard_join import jaccard_components
 from .langid import identify_languages, train_languages
 from .merkle import merkle_manifest, proof_text
 from .mixing import mix
+from .packing import pack_documents
 from .quality_rules import quality_rules, train_quality
 from .secret_scan import BASE_KINDS, scan_secrets
 from .toxicity import score_toxicity
@@ -21,6 +23,8 @@ from .zip_warc import round_trip
 
 TOXIC_FROM = 0.3
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
+SEQUENCE_TOKENS = 2048
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,6 +133,14 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    definition = Path(public_tokenizers.path(WORD_TOKENIZER)).read_text(encoding="utf-8")
+    packed = pack_documents(table(spark, sf_dir, "documents"), definition, SEQUENCE_TOKENS, carry=["doc_id"])
+    return packed.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows as a later reader finds them: where 7 divides the crc32 of the id as text, ``n_chars`` is one more."""
     one_more = F.col("n_chars").cast("decimal(20,0)") + 1
@@ -151,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scans,
         op9_token_counts,
         op10_zip_warc,
+        op11_best_fit_packing,
         op13_merkle_manifest,
     )
 }
