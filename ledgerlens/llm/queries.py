@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import mine_collocations
 from .decontaminate import decontaminate
 from .html_extract import extract_text
 from .jaccard_join import jaccard_components
@@ -141,6 +142,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("row.doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows as a later reader finds them: where 7 divides the crc32 of the id as text, ``n_chars`` is one more."""
     one_more = F.col("n_chars").cast("decimal(20,0)") + 1
@@ -164,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_zip_warc,
         op11_best_fit_packing,
+        op12_phrase_collocations,
         op13_merkle_manifest,
     )
 }
@@ -315,11 +321,37 @@ def _op13_sql() -> str:
       from high join leaves using (id) join subroots on subroots.branch = subbranch, root where high.size = 1"""
 
 
+_OP12_SQL = f"""
+  with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\\x0A-\\x0D]+')) as piece from documents),
+  words as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+  sizes as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+  found as (
+    select lang, p as m, array_to_string(w[i : i + p - 1], ' ') as phrase
+    from (select lang, w, p, unnest(range(1, len(w) - p + 2)) as i from words, (select unnest(range(1, 5)) as p) orders)),
+  counts as (select lang, m, phrase, count(*) as f from found group by all having count(*) >= 30),
+  candidates as (select *, string_split(phrase, ' ') as v from counts where m >= 2),
+  cuts as (
+    select c.lang, c.phrase, c.m, c.f as a, k, l.f as l, r.f as r, cast(2000000::hugeint * c.f // (l.f + r.f) as bigint) as score
+    from (select *, unnest(range(1, m)) as k from candidates) c
+    join counts l on l.lang = c.lang and l.phrase = array_to_string(v[: k], ' ')
+    join counts r on r.lang = c.lang and r.phrase = array_to_string(v[k + 1 :], ' ')),
+  scored as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+  inner_ as (
+    select lang, array_to_string(v[i : i + p - 1], ' ') as phrase, max(f) as longer
+    from (select lang, v, f, p, unnest(range(1, m - p + 2)) as i from candidates, (select unnest([2, 3]) as p) where p < m) group by all),
+  kept as (
+    select scored.* from scored left join inner_ using (lang, phrase) where 100::hugeint * coalesce(longer, 0) < 80::hugeint * a)
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+  from kept join sizes using (lang) qualify rank <= 2000"""
+
+
 #: The others train a model, parse markup or text by rules of their own, or read a vocabulary file.
 ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": _OP2_SQL,
     "op4_benchmark_decontamination": _OP4_SQL,
     "op5_mixing_to_weights": _op5_sql(),
     "op10_zip_warc": _op10_sql(),
+    "op12_phrase_collocations": _OP12_SQL,
     "op13_merkle_manifest": _op13_sql(),
 }
