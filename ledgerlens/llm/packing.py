@@ -30,9 +30,11 @@ from .textkernel import grouped, utf8
 #: The id that ends every document.
 END_ID = 0
 #: Words whose ids a task remembers; beyond, it starts over.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 600_000
 #: Longer words that are not plain ASCII are cut, too, where the tokenizer cuts in any case.
 LONG_WORD = 1 << 16
+#: Bytes of texts whose words are looked up together.
+GROUP_BYTES = 4 << 20
 #: Words are encoded in groups of about so many, in one string.
 TOGETHER = 200
 _CERTAIN_CUT = re.compile(rb"(?<=[0-9])(?=[!-~])|(?<=[A-Za-z])(?=[!-@\[-`{-~])")
@@ -41,6 +43,11 @@ _CERTAIN_CUT = re.compile(rb"(?<=[0-9])(?=[!-~])|(?<=[A-Za-z])(?=[!-@\[-`{-~])")
 # tokens ------------------------------------------------------------------------------------------------------
 
 
+def _case_goes(text: bytes) -> bool:
+    """Whether ASCII letters may be lower-cased at once: no reserved token, and no mark (U+0300 to U+037F) that joins a letter."""
+    return b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text
+
+
 class WordEncoder:
     """Token ids of texts by a word tokenizer: lower case, white space dropped, no piece across white space, word ends marked.
 
@@ -78,29 +85,34 @@ class WordEncoder:
         for i in range(0, len(texts), TOGETHER):
             part = texts[i : i + TOGETHER]
             found = self.whole.encode(" ".join(part), add_special_tokens=False)
-            starts = np.cumsum([0, *(len(t) + 1 for t in part)])
+            # Where the next word starts, in characters; a token belongs to the word that it starts in.
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
             at = np.array([a for a, _ in found.offsets], np.int64)
-            self._remember(words[i : i + TOGETHER], np.array(found.ids, np.uint32), np.searchsorted(at, starts[1:]))
-
-    def _parts(self, word: bytes) -> list[bytes]:
-        if b"<|" in word:  # a reserved token is told from plain text by its case and its punctuation
-            return [word]
-        if word.isascii():
-            return [word.lower()] if word.isalpha() else _CERTAIN_CUT.split(word.lower())
-        return _CERTAIN_CUT.split(word) if len(word) > LONG_WORD else [word]
+            self._remember(words[i : i + TOGETHER], np.array(found.ids, np.uint32), np.searchsorted(at, ends))
 
     def _learn(self, new: set[bytes]) -> None:
-        parts = {w: self._parts(w) for w in new}
-        need = {p for x in parts.values() for p in x}.difference(self.known)
-        plain = [p for p in need if p.isalpha() and p.islower()]
-        self._encode_plain(plain)
-        self._encode_any(list(need.difference(plain)))
-        known = self.known
-        known.update({w: b"".join([known[p] for p in x]) for w, x in parts.items()})
+        # A reserved token is told from plain text by its case and its punctuation.
+        plain = [w for w in new if w.isascii() and b"<|" not in w]
+        other = list(new.difference(plain))
+        together = _CERTAIN_CUT.sub(b" ", b"\n".join(plain).lower())
+        need = set(together.split()).difference(self.known)
+        letters = [p for p in need if p.isalpha()]
+        self._encode_plain(letters)
+        self._encode_any(list(need.difference(letters)))
+        known, long = self.known, [w for w in other if len(w) > LONG_WORD and b"<|" not in w]
+        for word, parts in zip(plain, together.split(b"\n")):
+            ids = known.get(parts)
+            known[word] = b"".join([known[p] for p in parts.split(b" ")]) if ids is None else ids
+        if long:
+            parts = {w: _CERTAIN_CUT.split(w) for w in long}
+            self._encode_any(list({p for x in parts.values() for p in x}.difference(known)))
+            known.update({w: b"".join([known[p] for p in x]) for w, x in parts.items()})
+            other = [w for w in other if w not in parts]
+        self._encode_any(other)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of every text of a group, as little-endian 32-bit numbers."""
-        words = [t.split() for t in texts]
+        words = [(t.lower() if _case_goes(t) else t).split() for t in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known = {}
         self._learn(set().union(*words).difference(self.known))
@@ -112,7 +124,7 @@ def _token_pieces(definition, capacity: int, keep_ids: bool):
         encoder = WordEncoder(definition.value)
         for batch in batches:
             texts = utf8(batch.column("text"))
-            for lo, hi in grouped(texts):
+            for lo, hi in grouped(texts, GROUP_BYTES):
                 # A text of its own group may be long.
                 ids = encoder.encode(texts[lo:hi]) if hi - lo > 1 else [b"".join(encoder.encode([p])[0] for p in pieces(texts[lo]))]
                 yield _cut(batch.column("row").slice(lo, hi - lo), ids, capacity, keep_ids)
