@@ -193,5 +193,21 @@ def word_features(text: bytes, bits: int, prefixes: tuple[int, ...] = (), pairs:
     return counts, words
 
 
+def sparse_word_features(text: bytes, bits: int, prefixes: tuple[int, ...] = ()):
+    """Slots of words and prefixes of a lower-cased text, ascending, their counts, and the word count."""
+    index, counts, words = np.empty(0, np.int64), np.empty(0, np.float32), 0
+    for piece in pieces(text):
+        h = Hashes(piece)
+        s, e = spans(h.codes, IN_WORD)
+        at = characters(h.codes)
+        found = [slots(h.of(s, e), WORD, bits), *[slots(word_prefixes(h, at, s, e, n), PREFIX + np.uint64(n), bits) for n in prefixes]]
+        own, times = np.unique(np.concatenate(found), return_counts=True)
+        if words:
+            own, owner = np.unique(np.concatenate([index, own]), return_inverse=True)
+            times = np.bincount(owner, np.concatenate([counts, times]))
+        index, counts, words = own, times.astype(np.float32), words + len(s)
+    return index, counts, words
+
+
 def lowered(text: bytes) -> bytes:
     return text.decode("utf-8", "replace").lower().encode("utf-8")

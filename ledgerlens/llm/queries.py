@@ -87,7 +87,7 @@ def op5_mixing_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_remainder(modulus: int):
-    """crc32 of the id as text: the fixed fold of the learned queries."""
+    """crc32 of the id as text: the fixed fold of the learned queries. A row without an id is never learned from."""
     return F.crc32(F.col("doc_id").cast("string")) % modulus
 
 
@@ -96,7 +96,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(documents, documents, table(spark, sf_dir, "labels"), carry=["doc_id"]).select("row.doc_id", "score")
     return scored.select(
         "doc_id",
-        (id_remainder(4) == 2).alias("held_out"),
+        F.coalesce(id_remainder(4) == 2, F.lit(True)).alias("held_out"),
         "score",
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
     )
@@ -106,7 +106,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train_languages(table(spark, sf_dir, "documents"), id_remainder(5) != 0)
     found = identify_languages(table(spark, sf_dir, "documents"), model, carry=["doc_id"])
     return found.select("row.doc_id", "lang_pred", "score").select(
-        "doc_id", (id_remainder(5) == 0).alias("held_out"), "lang_pred", "score"
+        "doc_id", F.coalesce(id_remainder(5) == 0, F.lit(True)).alias("held_out"), "lang_pred", "score"
     )
 
 

@@ -1,11 +1,12 @@
 """Toxicity by weak supervision.
 
 1. A lexicon of words and word beginnings is mined from a bounded, class-balanced sample of labelled rows. Each
-   entry gives voters: "occurs", "occurs twice or more", and so on; shares of the lexicon give voters for clean.
-2. A generative label model learns each voter's rate under either class by expectation maximisation, and the
-   correlations between voters that the classes leave unexplained; correlated voters share their weight.
-3. A linear classifier over hashed words and word beginnings learns the posterior labels, and its scores are
-   calibrated on labels of the other half of the sample. Every text is scored by it, whole.
+   entry gives voters: "occurs", "occurs twice or more", and so on, which vote for toxic or abstain.
+2. A generative label model learns each voter's rate under either class by expectation maximisation, starting from
+   the votes alone, and the correlations between voters that the classes leave unexplained; correlated voters count
+   once.
+3. A linear classifier over hashed words and word beginnings learns the posterior labels on two thirds of the sample,
+   and its scores are calibrated on the labels of the other third. Every text is scored by it, whole.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from .hashed_features import (
     lowered,
     prior_weights,
     sample_labelled,
-    word_features,
+    sparse_word_features,
 )
-from .rows import row_type, rows_and_text
+from .rows import Carried, bound_batches
 from .textkernel import utf8
 
 BITS = 18
@@ -43,6 +44,8 @@ MIN_PRECISION = 0.97
 MIN_SHARE = 0.02
 #: Words of a text are few against its length; counts per so many words are what the classifier sees.
 RATE_WORDS = 50.0
+#: A word's rate counts up to this, so that one word said over and over does not decide alone.
+MOST_RATE = 2.5
 #: Standard errors between the classes from which a slot counts.
 TELLING = 6.0
 _WORD = re.compile(r"\w+")
@@ -156,11 +159,10 @@ class LabelModel:
 
 
 def vector(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Occurrences of words and beginnings per ``RATE_WORDS`` words, at most two and a half."""
+    """Occurrences of words and beginnings per ``RATE_WORDS`` words, at most ``MOST_RATE``."""
     clean = " ".join(_WORD.findall(lowered(text).decode("utf-8"))).encode("utf-8")
-    counts, words = word_features(clean, BITS, prefixes=PREFIXES)
-    index = np.flatnonzero(counts)
-    return index, np.minimum(2.5, counts[index] * (RATE_WORDS / max(words, 8)))
+    index, counts, words = sparse_word_features(clean, BITS, prefixes=PREFIXES)
+    return index, np.minimum(MOST_RATE, counts * (RATE_WORDS / max(words, 8)))
 
 
 def _sampled_votes(sample: DataFrame, lexicon: list[Pattern]) -> dict[int, list[int]]:
@@ -195,7 +197,7 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, allowed: Column, per
     if not lexicon or not labels_.any():
         return LogisticModel(np.zeros(1 << BITS), -500.0)
     votes = np.array([votes_by_id[r["doc_id"]] for r in found], dtype=float)
-    model = LabelModel(votes, labels_)
+    model = LabelModel(votes, votes.any(axis=1).astype(float))
     target = model.posterior(votes)
     told = _telling_slots([r["vector"] for r in found], target)
     vectors = [(i[told[i]], v[told[i]]) for i, v in (r["vector"] for r in found)]
@@ -218,13 +220,13 @@ def _telling_slots(vectors: list[tuple[np.ndarray, np.ndarray]], target: np.ndar
     return np.abs(z) >= TELLING
 
 
-def _score(model):
+def _score(model, columns: list[str]):
     def run(batches):
         learned = model.value
         for batch in batches:
             scores = [learned.score(*vector(t)) for t in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
+                [*[batch.column(c) for c in columns], pa.array(scores, pa.float64())], names=[*columns, "score"]
             )
 
     return run
@@ -236,9 +238,10 @@ def score_texts(documents: DataFrame, model: LogisticModel, text_col: str = "tex
     Null and empty texts score as a text without words. Repeated rows are answered each, an empty table gives
     an empty result.
     """
-    df = rows_and_text(documents, text_col, carry)
+    bound_batches(documents.sparkSession)
+    carried = Carried(documents, text_col, carry)
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    return df.mapInArrow(_score(shared), f"row {row_type(df)}, score double")
+    return carried.restored(carried.frame.mapInArrow(_score(shared, carried.columns), f"{carried.schema}, score double"))
 
 
 def score_toxicity(documents: DataFrame, learn_from: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:
