@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.jaccard_join import jaccard_components
 from ledgerlens.llm.queries import TOXIC_FROM, mixture
+from ledgerlens.llm.rows import bound_batches
 from ledgerlens.llm.secret_scan import scan_secrets
 from ledgerlens.llm.toxicity import score_toxicity
 from ledgerlens.session import materialize
@@ -17,6 +18,7 @@ from ledgerlens.session import materialize
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at ``TOXIC_FROM`` or more go."""
+    bound_batches(spark)  # of all stages: texts are long
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = score_toxicity(docs, spark.read.parquet(f"{sf_dir}/documents.parquet"), labels)
     return scored.where(F.col("score") < TOXIC_FROM).select("row.*")
@@ -46,8 +48,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: a row per document and epoch it is in."""
-    return mixture(docs).select("row.*", "domain", "n_tokens", F.col("epoch").cast("int").alias("epoch"))
+    """The mixture: a row per document and epoch it is in; columns of ``docs`` of the names that it adds give way."""
+    own = [c for c in docs.columns if c.lower() not in ("domain", "n_tokens", "epoch")]
+    return mixture(docs).select(*[F.col(f"row.`{c}`") for c in own], "domain", "n_tokens", F.col("epoch").cast("int").alias("epoch"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
