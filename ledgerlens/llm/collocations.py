@@ -1,8 +1,8 @@
 """Collocations by stripes: every prefix keys a counter of the words that follow it.
 
-Tasks count stripes locally and stripes of one prefix are merged elementwise. A merged stripe gives the counts of all
-extensions of its prefix, the prefix's own total (words that cannot lead to a frequent phrase, and ends of pieces, are
-counted together) and the largest extension, which is what may subsume the prefix. Three scans of the texts:
+Tasks count stripes locally and stripes of one prefix are merged elementwise. The merged stripes give the counts of all
+extensions, the total of a prefix (as an entry of the stripe of the prefix without its last word; that of the empty
+prefix is the sum of its stripe) and the largest extension, which is what may subsume the prefix. Three scans:
 
 1. the stripe of the empty prefix: words, counted by their text;
 2. the stripes of single words, for words that scan 1 found frequent;
@@ -42,7 +42,7 @@ UNKNOWN = "und"
 _IN_WORD = inside_table(frozenset(PIECE_ENDS + BLANKS))
 _ENDS_PIECE = ~inside_table(frozenset(PIECE_ENDS))
 _TO_BLANK = bytes(0x20 if b in PIECE_ENDS else b for b in range(256))
-_STRIPES = "lang string, prefix array<long>, key long, segment int, next array<long>, n array<long>"
+_STRIPES = "lang string, prefix array<long>, segment int, next array<long>, n array<long>"
 _ORDER = np.random.default_rng(7).integers(0, 2**64, 16, dtype=np.uint64) | np.uint64(1)
 
 
@@ -177,23 +177,21 @@ def bit_table(keys: DataFrame) -> BitTable:
 
 
 def _bigram_entries(w, piece, table):
-    """Single-word prefixes: ``(prefix columns, next)``, next 0 where it cannot count."""
+    """``(prefix columns, next)`` for prefixes of one word, where both words may be frequent."""
     known = table.has(w)
-    follows = np.append((piece[1:] == piece[:-1]) & known[1:], False)[: len(w)]
-    at = np.flatnonzero(known)
-    return [([w[at]], np.where(follows[at], np.append(w[1:], np.uint64(0))[at], np.uint64(0)))]
+    at = np.flatnonzero(known[:-1] & known[1:] & (piece[1:] == piece[:-1]))
+    return [([w[at]], w[at + 1])]
 
 
 def _longer_entries(w, piece, table, longest):
-    """Prefixes of two words and more, all along frequent bigrams."""
-    pair = np.append((piece[1:] == piece[:-1]) & table.has(windows(w, 2)), False)[: len(w)] if len(w) > 1 else np.zeros(len(w), bool)
-    padded, along, found = np.append(w, np.zeros(longest, np.uint64)), pair, []
-    pair = np.append(pair, np.zeros(longest, bool))
+    """The same for prefixes of two words and more, all along frequent bigrams."""
+    pair = (piece[1:] == piece[:-1]) & table.has(windows(w, 2))
+    along, found = pair, []
     for size in range(2, longest):
+        # Bigrams at i, ..., i + size - 1.
+        along = along[:-1] & pair[size - 1 :]
         at = np.flatnonzero(along)
-        more = pair[at + size - 1]
-        found.append(([padded[at + i] for i in range(size)], np.where(more, padded[at + size], np.uint64(0))))
-        along = along & pair[size - 1 : size - 1 + len(along)]
+        found.append(([w[at + i] for i in range(size)], w[at + size]))
     return found
 
 
@@ -242,12 +240,11 @@ class _Stripes:
                 [
                     pa.array([lang] * len(rows)),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * len(prefix), pa.int32()), pa.array(_signed(flat))),
-                    pa.array(_signed(key[rows])),
                     pa.array(segment[rows]),
                     pa.ListArray.from_arrays(offsets, pa.array(_signed(following[entries]))),
                     pa.ListArray.from_arrays(offsets, pa.array(n[entries])),
                 ],
-                names=["lang", "prefix", "key", "segment", "next", "n"],
+                names=["lang", "prefix", "segment", "next", "n"],
             )
 
 
@@ -282,7 +279,7 @@ def _phrase_stripes(table, hot, longest: int | None):
         held: dict[tuple[str, int], _Stripes] = {}
         for lang, data in _by_language(batches):
             w, piece = _words_and_pieces(lang, data)
-            if not len(w):
+            if len(w) < 2:
                 continue
             found = _bigram_entries(w, piece, table.value) if longest is None else _longer_entries(w, piece, table.value, longest)
             for prefix, following in found:
@@ -301,66 +298,62 @@ def _phrase_stripes(table, hot, longest: int | None):
 
 
 def _merge_stripes(least: int):
-    """Rows come sorted by language, key and segment; a stripe with frequent extensions gives a row."""
-
-    def merged(batch):
-        lang, key, segment = (batch.column(c) for c in ("lang", "key", "segment"))
-        codes = lang.dictionary_encode().indices.to_numpy()
-        change = (np.diff(codes) != 0) | (np.diff(key.to_numpy()) != 0) | (np.diff(segment.to_numpy()) != 0)
-        group = np.cumsum(np.append(0, change))
+    """Rows come sorted by language, prefix and segment; a stripe with frequent extensions gives a row."""
+
+    def groups_of(batch) -> np.ndarray:
+        """The number of each row's stripe."""
+        prefix, key = batch.column("prefix"), np.zeros(batch.num_rows, np.uint64)
+        size, flat = prefix.value_lengths().to_numpy(), prefix.flatten().to_numpy().view(np.uint64)
+        start = np.cumsum(size) - size
+        for n in np.unique(size):
+            rows = np.flatnonzero(size == n)
+            key[rows] = prefix_key([flat[start[rows] + i] for i in range(n)])
+        lang = batch.column("lang").dictionary_encode().indices.to_numpy()
+        change = (np.diff(lang) != 0) | (key[1:] != key[:-1]) | (np.diff(batch.column("segment").to_numpy()) != 0)
+        return np.cumsum(np.append(0, change))
+
+    def merged(batch, group):
         following, n = batch.column("next"), batch.column("n")
         owner = np.repeat(group, following.value_lengths().to_numpy())
         values, counts = following.flatten().to_numpy().view(np.uint64), n.flatten().to_numpy()
-        total = np.bincount(owner, counts, minlength=group[-1] + 1).astype(np.int64)
         _, first, inverse = np.unique(mix(values + owner.astype(np.uint64) * _ORDER[0]), return_index=True, return_inverse=True)
-        f = np.bincount(inverse, counts).astype(np.int64)
-        keep = (f >= least) & (values[first] != 0)
-        place, f = first[keep], f[keep]
+        f = np.zeros(len(first), np.int64)
+        np.add.at(f, inverse, counts)
+        place, f = first[f >= least], f[f >= least]
         order = np.argsort(owner[place], kind="stable")
         place, f = place[order], f[order]
         groups, starts = np.unique(owner[place], return_index=True)
-        if not len(groups):
-            return None
-        rows = np.searchsorted(group, groups)
+        rows = pa.array(np.searchsorted(group, groups))
         offsets = pa.array(np.append(starts, len(place)), pa.int32())
         return pa.RecordBatch.from_arrays(
             [
-                lang.take(pa.array(rows)),
-                batch.column("prefix").take(pa.array(rows)),
-                pa.array(total[groups]),
+                batch.column("lang").take(rows),
+                batch.column("prefix").take(rows),
                 pa.ListArray.from_arrays(offsets, pa.array(_signed(values[place]))),
                 pa.ListArray.from_arrays(offsets, pa.array(f)),
             ],
-            names=["lang", "prefix", "total", "next", "f"],
+            names=["lang", "prefix", "next", "f"],
         )
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
-            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            last = tuple(whole.column(c)[-1].as_py() for c in ("lang", "key", "segment"))
-            same = np.ones(whole.num_rows, bool)
-            for c, v in zip(("lang", "key", "segment"), last):
-                same &= np.array([x == v for x in whole.column(c).to_pylist()]) if c == "lang" else whole.column(c).to_numpy() == v
-            cut = int(np.flatnonzero(same)[0])
+            whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            group = groups_of(whole)
+            cut = int(np.searchsorted(group, group[-1]))  # the last stripe may go on
             if cut:
-                out = merged(whole.slice(0, cut))
-                if out is not None:
-                    yield out
-            held = [whole.slice(cut)]
-        if held:
-            out = merged(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-            if out is not None:
-                yield out
+                yield merged(whole.slice(0, cut), group[:cut])
+            held = whole.slice(cut)
+        if held is not None:
+            yield merged(held, groups_of(held))
 
     return run
 
 
 def _stripes_of(texts: DataFrame, table: BitTable, hot: DataFrame, words: int, least: int, longest: int | None, name: str) -> DataFrame:
-    """Merged stripes: ``(lang, prefix, total, next, f)`` with the extensions that occur ``least`` times or more."""
+    """Merged stripes: ``(lang, prefix, next, f)`` with the extensions that occur ``least`` times or more."""
     context = texts.sparkSession.sparkContext
     rows = hot.where(F.col("f") * HOT > words).select("key", "f").collect()  # fewer than HOT
     keys = np.array([r["key"] for r in rows], np.int64).view(np.uint64)
@@ -368,8 +361,9 @@ def _stripes_of(texts: DataFrame, table: BitTable, hot: DataFrame, words: int, l
     order = np.argsort(keys)
     shared = [context.broadcast(table), context.broadcast((keys[order], masks[order]))]
     stripes = texts.mapInArrow(_phrase_stripes(*shared, longest), _STRIPES)
-    sorted_ = stripes.repartition("lang", "key", "segment").sortWithinPartitions("lang", "key", "segment")
-    merged = sorted_.mapInArrow(_merge_stripes(least), "lang string, prefix array<long>, total long, next array<long>, f array<long>")
+    spread = stripes.repartition("lang", "prefix", "segment")
+    placed = spread.sortWithinPartitions("lang", F.xxhash64("prefix"), "prefix", "segment")
+    merged = placed.mapInArrow(_merge_stripes(least), "lang string, prefix array<long>, next array<long>, f array<long>")
     merged = materialize(merged, name)
     for s in shared:
         s.destroy()
@@ -380,12 +374,9 @@ def _stripes_of(texts: DataFrame, table: BitTable, hot: DataFrame, words: int, l
 
 
 def _extensions(stripes: DataFrame) -> DataFrame:
-    """``(lang, words, f, total)``: every frequent extension, with the total of its prefix."""
-    # A stripe may come in segments.
-    whole = F.sum("total").over(Window.partitionBy("lang", "prefix"))
+    """``(lang, words, f)``: every frequent extension."""
     entry = F.explode(F.arrays_zip("next", "f")).alias("entry")
-    summed = stripes.select("lang", "prefix", "total", "next", "f")
-    return summed.select("lang", "prefix", entry).select(
+    return stripes.select("lang", "prefix", entry).select(
         "lang", F.concat("prefix", F.array("entry.next")).alias("words"), F.col("entry.f").alias("f")
     )
 
