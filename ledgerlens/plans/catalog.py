@@ -18,16 +18,18 @@ from ..adapters import (
     daily_runs,
     message_files,
     raw_files,
+    raw_lines,
     rule_scores,
     shipments,
     transactions,
 )
 from ..functions.temporal import THURSDAY_TO_SATURDAY, is_weekend, on_day
-from ..operators import abtest, cleaning, features, metrics, quality, registry, sampling, scaling, windows
+from ..operators import abtest, cleaning, curves, features, metrics, quality, registry, sampling, scaling, windows
 from ..operators.skew import DEFAULT, HotKeys
 from ..session import materialize, scratch_path
 from ..sinks.parquet import overwrite_days
 from ..sources.landing import land
+from ..sources.ledger import land_new, read_landed
 from ..sources.tables import list_datasets, list_files, read_clean
 from ..sources.text import read_lines, read_raw, read_typed
 from ..streaming import jobs, messages, state
@@ -120,6 +122,21 @@ def line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources with the same days, landed one after the other, the first of them twice: lines per folder and day."""
+    root, target, tx = scratch_path(spark, "sources"), scratch_path(spark, "landing"), transactions(spark, sf_dir)
+    for name, rows in (("all", tx), ("odd", tx.where("transaction_id % 2 = 1"))):
+        raw_lines(rows).write.partitionBy("day").text(f"{root}/{name}")
+        land_new(spark, root, target)
+    land_new(spark, root, target)
+    comment = F.startswith("value", F.lit("#"))
+    return (
+        read_landed(spark, target)
+        .groupBy("target_folder", F.col("source_day").cast("date").alias("source_day"))
+        .agg(F.count(F.lit(1)).alias("line_count"), F.count_if(comment).alias("comment_count"))
+    )
+
+
 def dataset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = raw_files(spark, sf_dir)
     files = list_files(spark, root)
@@ -307,6 +324,13 @@ def weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentable(metrics.weighted_metrics(_confusion(spark, sf_dir, ["terminal_id"]), ["terminal_id"]))
 
 
+def rule_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The amount as a fraud score: exact areas per terminal, and over all rows with no terminal."""
+    tx = transactions(spark, sf_dir)
+    whole = curves.areas_under_curves(tx, score="tx_amount").withColumn("terminal_id", F.lit(None).cast("long"))
+    return presentable(curves.areas_under_curves(tx, ["terminal_id"], score="tx_amount").unionByName(whole))
+
+
 def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentable(metrics.accuracy(rule_scores(transactions(spark, sf_dir), LOW_RULE)))
 
@@ -405,6 +429,19 @@ def stateful_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(jobs.run_to_table(state.transaction_state(stream, delay=ANY_ORDER), "state", source=path))
 
 
+#: Transactions before this time are the history, the others the stream.
+STREAM_FROM = "2024-01-16"
+
+
+def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first days as a batch, the rest as a stream that goes on from their state."""
+    tx = transactions(spark, sf_dir).withColumn("tx_datetime", F.date_trunc("second", "tx_datetime"))
+    newer = F.col("tx_datetime") >= F.lit(STREAM_FROM).cast("timestamp")
+    stream, path = _message_stream(spark, messages.encode(tx.where(newer)).select("value"))
+    going_on = state.transaction_state(messages.usable(messages.decode(stream)), delay=ANY_ORDER, history=tx.where(~newer))
+    return _state_columns(jobs.run_to_table(going_on, "from-history", source=path))
+
+
 def stateful_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, path = _stream(spark, sf_dir)
     return _state_columns(jobs.run_to_table(jobs.joined_state(stream, ANY_ORDER), "joined-state", source=path))
@@ -524,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         duplicate_groups,
         quarantine_reasons,
         line_counts,
+        landed_sources,
         dataset_sizes,
         row_count,
         one_day,
@@ -555,6 +593,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         class_report,
         weighted_metrics,
         accuracy,
+        rule_curves,
         bootstrap_metrics,
         bootstrap_summary,
         ab_z_test,
@@ -567,6 +606,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_customer_state,
         stream_terminal_state,
         stateful_features,
+        stream_from_history,
         stateful_join,
         stream_distinct,
         stream_quarantine,

@@ -283,6 +283,10 @@ ORACLE: dict[str, str] = {
         where defect is not null group by all""",
     "line_counts": f"""with {RAW} select file_day as source_day, cast(sum(copies) + 1 as bigint) as line_count,
         cast(1 as bigint) as comment_count from lines group by file_day""",
+    "landed_sources": f"""with {RAW} select 'all' as target_folder, file_day as source_day,
+        cast(sum(copies) + 1 as bigint) as line_count, cast(1 as bigint) as comment_count from lines group by file_day
+        union all select 'odd', file_day, cast(sum(copies) + 1 as bigint), cast(1 as bigint) from lines where n % 2 = 1
+        group by file_day""",
     "dataset_sizes": f"""with {RAW} select 'day=' || cast(file_day as varchar) as dataset,
         cast(sum(copies * (length(line) + 1)) + length('# transaction_id | tx_datetime') + 1 as bigint) as bytes
         from lines group by file_day""",
@@ -372,6 +376,18 @@ ORACLE: dict[str, str] = {
         select terminal_id, {', '.join(f'{r(m)} as {m}' for m in ('accuracy', 'precision', 'recall', 'f1'))} from m""",
     "accuracy": f"""with {TX}, {rule(60.0)} select {r('avg(case when tx_fraud = prediction then 1 else 0 end)')}
         as accuracy from scored""",
+    "rule_curves": f"""with {TX}, both_ways as (
+          select terminal_id, tx_amount as s, tx_fraud as y from tx union all select null, tx_amount, tx_fraud from tx),
+        ranked as (
+          select *, sum(y) over w as tp, sum(1 - y) over w as fp, count(*) over w as upto,
+                 sum(1 - y) over (partition by terminal_id, s) as tied
+          from both_ways window w as (partition by terminal_id order by s desc)),
+        summed as (
+          select terminal_id, cast(sum(y) as bigint) as positives, cast(sum(1 - y) as bigint) as negatives,
+                 sum(y * (fp - tied / 2.0)) as lost, sum(y * tp / upto) as precisions from ranked group by terminal_id)
+        select terminal_id, positives, negatives,
+          {r('case when positives > 0 and negatives > 0 then 1 - lost / positives / negatives end')} as area_under_roc,
+          {r('case when positives > 0 and negatives > 0 then precisions / positives end')} as area_under_pr from summed""",
     "bootstrap_metrics": f"""with {TX}, {rule(60.0)}, {samples('scored', 's')}
         select replicate, metric, {r('value')} as value from s""",
     "bootstrap_summary": f"""with {TX}, {rule(60.0)}, {samples('scored', 's')}, {summary('s', 'm')}
@@ -405,6 +421,8 @@ ORACLE: dict[str, str] = {
     "stream_customer_state": state(("customer",)),
     "stream_terminal_state": state(("terminal",)),
     "stateful_features": state(("customer", "terminal")),
+    "stream_from_history": f"""select * from ({state(("customer", "terminal"))}) where transaction_id in
+        (select event_id from events where ts >= timestamp '2024-01-16 00:00:00')""",
     "stateful_join": state(("customer", "terminal")),
     "stream_distinct": f"""with {TX}, whole as (select * replace (date_trunc('second', tx_datetime) as tx_datetime) from tx)
         select {shown()} from whole""",

@@ -38,5 +38,8 @@ RUN_METRICS_SCHEMA = T.StructType([
 # The text form of a timestamp in stream messages.
 MESSAGE_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss"
 
-# The time of the message that ends a finite stream; no transaction is as late.
+# The time of the message that ends a finite stream.
 END_OF_INPUT = "2200-01-01T00:00:00"
+
+# Messages of this time and later are set aside: one of them would make all that follow it late.
+TOO_LATE = "2100-01-01T00:00:00"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import END_OF_INPUT, MESSAGE_TIMESTAMP, TRANSACTION_SCHEMA
+from ..schemas import END_OF_INPUT, MESSAGE_TIMESTAMP, TOO_LATE, TRANSACTION_SCHEMA
 
 _JSON = {"timestampFormat": MESSAGE_TIMESTAMP}
 
@@ -67,11 +67,12 @@ def read_message_files(
     return stream.text(path)
 
 
-def decode(messages: DataFrame) -> DataFrame:
+def decode(messages: DataFrame, too_late: str = TOO_LATE) -> DataFrame:
     """The fields of each message, its text in ``value``, and ``_error`` if it cannot be used.
 
     A message needs an id, a time, a customer, a terminal and an amount; one without would spoil the
-    running state of its keys.
+    running state of its keys. A time of ``too_late`` or later would move the watermark past all other messages;
+    only the message that ends the input may have it.
     """
     # As a string first, so that a bad time can be told from an absent one.
     fields = ", ".join(
@@ -82,10 +83,14 @@ def decode(messages: DataFrame) -> DataFrame:
     needed = ["customer_id", "terminal_id", "tx_amount"]
     endless = F.abs("m.tx_amount") >= F.lit(float("inf"))  # NaN, too, which Spark orders last
     incomplete = F.coalesce(endless, F.lit(False)) | F.greatest(*[F.col(f"m.{c}").isNull() for c in needed])
+    ends = (at == F.lit(END_OF_INPUT).cast("timestamp")) & F.greatest(
+        *[F.col(f"m.{c}") for c in ("transaction_id", "customer_id", "terminal_id")]
+    ).eqNullSafe(F.lit(-1).cast("long"))
     error = (
         F.when(F.col("m").isNull() | F.col("m._broken").isNotNull(), "not_json")
         .when(F.col("m.transaction_id").isNull(), "no_id")
         .when(at.isNull(), "bad_time")
+        .when((at >= F.lit(too_late).cast("timestamp")) & ~F.coalesce(ends, F.lit(False)), "far_time")
         .when(incomplete, "incomplete")
     )
     columns = [at.alias(f.name) if f.name == "tx_datetime" else F.col(f"m.{f.name}") for f in TRANSACTION_SCHEMA]

@@ -10,8 +10,10 @@ is returned without statistics and leaves the state as it is.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -63,6 +65,14 @@ class RunningAmounts(StatefulProcessor):
         self.state = handle.getValueState("running", _STATE)
         self.waiting = handle.getListState("waiting", _CHUNK)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """What ``amounts_so_far`` has of this key: the stream goes on where the history ends."""
+        known = initialState.iloc[0]
+        last = int(known["last_us"])
+        self.state.update((int(known["count"]), float(known["mean"]), float(known["m2"]), last, None))
+        if self.ttl_ms:
+            self._call_at(last + self.ttl_ms * 1000)
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         known = self.state.get() if self.state.exists() else (0, 0.0, 0.0, None, None)
@@ -187,11 +197,13 @@ def running_amounts(
     ttl_ms: int | None = None,
     output_mode: str = "update",
     released: str | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """All columns of a stream ``in_event_time``, the running features of ``key``, and whether the row was late.
 
     State is kept without limit unless ``ttl_ms`` is given: a key not seen for longer starts anew, and its state
-    goes once the watermark is that far past its newest row. ``released`` names a column for the time of release, which operators that follow may take as watermark.
+    goes once the watermark is that far past its newest row. ``history`` holds earlier transactions: a key starts with
+    their count, mean and spread when the query starts for the first time. ``released`` names a column for the time of release, which operators that follow may take as watermark.
     """
     added = [
         T.StructField(f"avg_tx_amount_{suffix}", T.DoubleType()),
@@ -204,27 +216,73 @@ def running_amounts(
     added.append(T.StructField(f"late_{suffix}", T.BooleanType()))
     if released:
         added.append(T.StructField(released, T.TimestampType()))
+    if history is not None:
+        _findable(stream)
     return stream.groupBy(key).transformWithStateInPandas(
         statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, stream.schema, released),
         outputStructType=T.StructType([*stream.schema.fields, *added]),
         outputMode="append" if released else output_mode,
         timeMode="EventTime",
         eventTimeColumnName=released or "",
+        initialState=None if history is None else amounts_so_far(history, key).groupBy(key),
+    )
+
+
+def _findable(stream: DataFrame) -> None:
+    """Lets the process that loads the initial state import this package from where the driver has it."""
+    environment = stream.sparkSession.sparkContext.environment
+    own = str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if own not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([own, *filter(None, known)])
+
+
+def amounts_so_far(history: DataFrame, key: str) -> DataFrame:
+    """Per key the count, mean, sum of squared distances from the mean, and newest time of earlier transactions.
+
+    One aggregate per key, with map-side combine. Transactions without key, time or finite amount have no place in the
+    state, as they have none among usable messages.
+    """
+    usable = history.where(
+        F.col(key).isNotNull() & F.col("tx_datetime").isNotNull() & (F.abs("tx_amount") < F.lit(float("inf")))
+    )
+    return usable.groupBy(key).agg(
+        F.count("tx_amount").alias("count"),
+        F.avg("tx_amount").alias("mean"),
+        (F.var_pop("tx_amount") * F.count("tx_amount")).alias("m2"),
+        F.max(F.unix_micros("tx_datetime")).alias("last_us"),
     )
 
 
-def customer_state(stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY, released: str | None = None) -> DataFrame:
+def customer_state(
+    stream: DataFrame,
+    ttl_ms: int | None = None,
+    delay: str = DELAY,
+    released: str | None = None,
+    history: DataFrame | None = None,
+) -> DataFrame:
     timed = in_event_time(stream, delay)
-    return running_amounts(timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released)
+    return running_amounts(timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released, history=history)
 
 
-def terminal_state(stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY, released: str | None = None) -> DataFrame:
-    return running_amounts(in_event_time(stream, delay), "terminal_id", "terminal", ttl_ms=ttl_ms, released=released)
+def terminal_state(
+    stream: DataFrame,
+    ttl_ms: int | None = None,
+    delay: str = DELAY,
+    released: str | None = None,
+    history: DataFrame | None = None,
+) -> DataFrame:
+    timed = in_event_time(stream, delay)
+    return running_amounts(timed, "terminal_id", "terminal", ttl_ms=ttl_ms, released=released, history=history)
 
 
-def transaction_state(stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY) -> DataFrame:
+def transaction_state(
+    stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY, history: DataFrame | None = None
+) -> DataFrame:
     """Customer state, then terminal state, on the same rows: no join is needed.
 
-    What the first step releases is due in the second, in the same micro-batch.
+    What the first step releases is due in the second, in the same micro-batch. ``history`` is the batch of earlier
+    transactions from which both start; messages as old as its newest row of their key are late.
     """
-    return running_amounts(customer_state(stream, ttl_ms, delay), "terminal_id", "terminal", ttl_ms=ttl_ms)
+    customers = customer_state(stream, ttl_ms, delay, history=history)
+    return running_amounts(customers, "terminal_id", "terminal", ttl_ms=ttl_ms, history=history)
