@@ -50,14 +50,13 @@ def z_score(mean: Column, std: Column, previous_mean: Column, previous_std: Colu
     return F.try_divide(mean - previous_mean, F.sqrt(std * std + previous_std * previous_std))
 
 
+# Fixed output text: verdict on a metric, with its name, the outcome, the p-value and the level.
+DECISION, DIFFERS, ALIKE = "%s %s statistically significant difference (p_value=%.6f, alpha={alpha})", "has", "does not have"
+
+
 def decision_text(metric: Column, p_value: Column, alpha: float) -> Column:
-    outcome = F.when(p_value < alpha, "has").otherwise("does not have")
-    return F.when(
-        p_value.isNotNull(),
-        F.format_string(
-            f"%s %s statistically significant difference (p_value=%.6f, alpha={alpha})", metric, outcome, p_value
-        ),
-    )
+    outcome = F.when(p_value < alpha, DIFFERS).otherwise(ALIKE)
+    return F.when(p_value.isNotNull(), F.format_string(DECISION.format(alpha=alpha), metric, outcome, p_value))
 
 
 def compare(summary: DataFrame, previous: DataFrame, alpha: float = ALPHA, by: Sequence[str] = ()) -> DataFrame:

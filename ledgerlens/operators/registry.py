@@ -1,4 +1,8 @@
-"""The ``run_metrics`` table: statistics of all model runs, in long form."""
+"""The ``run_metrics`` table: statistics of all model runs, in long form.
+
+A run becomes visible by its commit marker, which is written last: one that breaks off halfway is nobody's predecessor.
+Markers lie in a sub-folder that readers of the table pass over.
+"""
 
 from __future__ import annotations
 
@@ -11,14 +15,30 @@ from ..schemas import RUN_METRICS_SCHEMA
 from .abtest import STATS
 
 
+_COMMIT_SCHEMA = "committed boolean, experiment string, run_id string"
+
+
+def _commits(path: str) -> str:
+    return f"{path.rstrip('/')}/_commits"
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_METRICS_SCHEMA).parquet(path)
+    """The rows of all committed runs."""
+    commits = spark.read.schema(_COMMIT_SCHEMA).parquet(_commits(path))
+    return spark.read.schema(RUN_METRICS_SCHEMA).parquet(path).join(commits, ["experiment", "run_id"], "left_semi").select(
+        *RUN_METRICS_SCHEMA.fieldNames()
+    )
 
 
 def start_registry(spark: SparkSession, path: str) -> None:
     """Create the empty table, unless it exists."""
-    empty = spark.createDataFrame([], RUN_METRICS_SCHEMA)
-    empty.write.mode("ignore").partitionBy("experiment", "run_id").parquet(path)
+    for schema, folder in ((RUN_METRICS_SCHEMA, path), (_COMMIT_SCHEMA, _commits(path))):
+        spark.createDataFrame([], schema).write.mode("ignore").partitionBy("experiment", "run_id").parquet(folder)
+
+
+def commit_run(spark: SparkSession, path: str, experiment: str, run_id: str) -> None:
+    """Make a run visible, once all its rows are written."""
+    _replace_run(spark.range(1).select(F.lit(True).alias("committed")), _commits(path), experiment, run_id)
 
 
 def _replace_run(rows: DataFrame, path: str, experiment: str, run_id: str) -> None:
@@ -32,8 +52,13 @@ def _replace_run(rows: DataFrame, path: str, experiment: str, run_id: str) -> No
     )
 
 
-def log_values(values: DataFrame, path: str, experiment: str, run_id: str, start_time: datetime) -> None:
-    """Write the ``(metric, stat, value)`` rows of a run. Logging a run again replaces its rows."""
+def log_values(
+    values: DataFrame, path: str, experiment: str, run_id: str, start_time: datetime, commit: bool = True
+) -> None:
+    """Write the ``(metric, stat, value)`` rows of a run. Logging a run again replaces its rows.
+
+    Without ``commit`` the run stays invisible until ``commit_run``.
+    """
     rows = values.select(
         F.lit(start_time).cast("timestamp").alias("start_time"),
         "metric",
@@ -41,6 +66,8 @@ def log_values(values: DataFrame, path: str, experiment: str, run_id: str, start
         F.col("value").cast("double").alias("value"),
     )
     _replace_run(rows, path, experiment, run_id)
+    if commit:
+        commit_run(values.sparkSession, path, experiment, run_id)
 
 
 def log_decisions(compared: DataFrame, path: str, experiment: str, run_id: str) -> None:

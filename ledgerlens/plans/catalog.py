@@ -7,6 +7,7 @@ two engines add doubles in different orders; the small shift keeps exact halves
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,12 +34,12 @@ from ..sources.ledger import land_new, read_landed
 from ..sources.tables import list_datasets, list_files, read_clean
 from ..sources.text import read_lines, read_raw, read_typed
 from ..streaming import jobs, messages, state
-from . import modeling
+from . import modeling, training
 
 # Low enough that keys of the small test tables count as hot and take the sliced path.
 TINY = HotKeys(hot_rows=40, max_hot_keys=1_000_000, slice_seconds=6 * 3600, shares=8)
 
-LOW_RULE, HIGH_RULE = 60.0, 90.0
+LOW_RULE, MIDDLE_RULE, HIGH_RULE = 60.0, 75.0, 90.0
 
 
 def rounded(column: Column) -> Column:
@@ -356,6 +357,20 @@ def ab_z_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentable(tested.select("metric", "z_score", "p_value", "significant", "decision"))
 
 
+def ab_driver_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rules logged as runs, not in order of their start, and one broken off before its commit; read back."""
+    tx, runs, texts = transactions(spark, sf_dir), scratch_path(spark, "runs"), scratch_path(spark, "decisions")
+    for run_id, day, threshold in (("first", 1, LOW_RULE), ("third", 3, HIGH_RULE), ("second", 2, MIDDLE_RULE)):
+        training.run_ab_test(rule_scores(tx, threshold), runs, "rules", run_id, datetime(2024, 1, day), decisions=texts)
+        half = registry.read_runs(spark, runs).where("stat = 'mean'").select("metric", "stat", "value")
+        registry.log_values(half, runs, "rules", f"broken-{run_id}", datetime(2024, 2, day), commit=False)
+    stored = registry.read_runs(spark, runs)
+    stats = ("mean", "std", "z_score", "p_value")
+    wide = stored.groupBy("run_id", "metric").agg(*[F.max(F.when(F.col("stat") == x, F.col("value"))).alias(x) for x in stats])
+    decided = spark.read.parquet(texts).select("run_id", "metric", "decision")
+    return presentable(wide.join(decided, ["run_id", "metric"], "left"))
+
+
 def previous_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = daily_runs(transactions(spark, sf_dir))
     chosen = registry.nth_newest_run(runs, 2)
@@ -375,7 +390,7 @@ def kafka_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.encode(messages.first_n(transactions(spark, sf_dir), 1000)).select("key")
+    return messages.encode(messages.first_n(transactions(spark, sf_dir), 1000))
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -597,6 +612,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bootstrap_metrics,
         bootstrap_summary,
         ab_z_test,
+        ab_driver_runs,
         previous_run,
         newest_runs,
         kafka_payload,

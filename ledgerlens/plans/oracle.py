@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
 from ..adapters import TRANSACTIONS_SQL
-from ..functions.hashing import poisson_cutoffs
 
 # The columns of the feature vector, in its order.
 FEATURES = (
@@ -152,9 +153,18 @@ def count_cells(source: str, keys: str = "", weight: str = "1") -> str:
     return f"(select {lead}{sums} from {source}{group})"
 
 
+def poisson_steps(rate: float) -> list[float]:
+    """P(X <= k), as long as a draw of 32 bits can be above."""
+    steps = [math.exp(-rate)]
+    while 1.0 - steps[-1] > 2.0**-32:
+        k = len(steps)
+        steps.append(steps[-1] + math.exp(-rate) * rate**k / math.factorial(k))
+    return steps
+
+
 def samples(scored: str, name: str) -> str:
     u = f"cast('0x' || substr(md5(concat('42:', replicate, ':', transaction_id)), 1, 8) as bigint) / 4294967296.0"
-    weight = " + ".join(f"cast(u >= {c!r} as integer)" for c in poisson_cutoffs(0.1))
+    weight = " + ".join(f"cast(u >= {c!r} as integer)" for c in poisson_steps(0.1))
     return f"""{name}_drawn as (
   select *, {weight} as weight
   from (select *, cast({u} as double) as u
@@ -186,6 +196,21 @@ def erfc(x: str) -> str:
     )
 
 
+def z_test(new: str, old: str, name: str) -> str:
+    """``(metric, z, p)`` of two summaries."""
+    return f"""{name} as (
+  select metric, z, {erfc('x')} as p from (
+    select *, abs(z) / sqrt(2) as x from (
+      select metric, (n.mean - o.mean) / nullif(sqrt(n.std * n.std + o.std * o.std), 0) as z
+      from {new} n left join {old} o using (metric))))"""
+
+
+# Fixed output text.
+DECISION = (
+    "metric || case when p < 0.05 then ' has' else ' does not have' end || "
+    "' statistically significant difference (p_value=' || format('{:.6f}', p) || ', alpha=0.05)'"
+)
+
 MESSAGE = (
     """concat('{"transaction_id":', transaction_id, ',"tx_datetime":"', strftime(tx_datetime, '%Y-%m-%dT%H:%M:%S'),"""
     """ '","customer_id":', customer_id, ',"terminal_id":', terminal_id, ',"tx_amount":', cast(tx_amount as varchar),"""
@@ -394,15 +419,18 @@ ORACLE: dict[str, str] = {
         select metric, {', '.join(f'{r(c)} as {c}' for c in ('mean', 'std', 'low', 'high'))} from m""",
     "ab_z_test": f"""with {TX}, {rule(60.0, 'scored_new')}, {rule(90.0, 'scored_old')},
         {samples('scored_new', 's_new')}, {samples('scored_old', 's_old')},
-        {summary('s_new', 'new')}, {summary('s_old', 'old')},
-        z as (select metric, (new.mean - old.mean) / nullif(sqrt(new.std * new.std + old.std * old.std), 0) as z
-              from new left join old using (metric)),
-        x as (select metric, z, abs(z) / sqrt(2) as x from z),
-        p as (select metric, z, {erfc('x')} as p from x)
-        select metric, {r('z')} as z_score, {r('p')} as p_value, p < 0.05 as significant,
-               metric || case when p < 0.05 then ' has' else ' does not have' end ||
-               ' statistically significant difference (p_value=' || format('{{:.6f}}', p) || ', alpha=0.05)' as decision
-        from p""",
+        {summary('s_new', 'new')}, {summary('s_old', 'old')}, {z_test('new', 'old', 'p')}
+        select metric, {r('z')} as z_score, {r('p')} as p_value, p < 0.05 as significant, {DECISION} as decision from p""",
+    "ab_driver_runs": f"""with {TX}, {rule(60.0, 'low')}, {rule(75.0, 'middle')}, {rule(90.0, 'high')},
+        {samples('low', 's_low')}, {samples('middle', 's_middle')}, {samples('high', 's_high')},
+        {summary('s_low', 'm_low')}, {summary('s_middle', 'm_middle')}, {summary('s_high', 'm_high')},
+        {z_test('m_high', 'm_low', 'third')}, {z_test('m_middle', 'm_high', 'second')},
+        runs as (
+          select 'first' as run_id, metric, mean, std, null::double as z, null::double as p from m_low union all
+          select 'third', metric, mean, std, z, p from m_high join third using (metric) union all
+          select 'second', metric, mean, std, z, p from m_middle join second using (metric))
+        select run_id, metric, {r('mean')} as mean, {r('std')} as std, {r('z')} as z_score, {r('p')} as p_value,
+               {DECISION} as decision from runs""",
     "previous_run": f"""with {TX}, runs as (
           select cast(terminal_id as varchar) as experiment, cast(cast(tx_datetime as date) as varchar) as run_id,
                  min(tx_datetime) as start_time, avg(tx_amount) as mean, stddev_pop(tx_amount) as std
@@ -414,7 +442,8 @@ ORACLE: dict[str, str] = {
                  min(tx_datetime) as start_time from tx group by all)
         select * from runs order by start_time desc, run_id desc limit 2""",
     "kafka_payload": f"with {TX} select cast(transaction_id as varchar) as key, {MESSAGE} as value from tx",
-    "first_n": f"with {TX} select cast(transaction_id as varchar) as key from tx order by transaction_id limit 1000",
+    "first_n": f"""with {TX} select cast(transaction_id as varchar) as key, {MESSAGE} as value
+        from tx order by transaction_id limit 1000""",
     "decode_payload": f"""with {TX}, whole as (select * replace (date_trunc('second', tx_datetime) as tx_datetime) from tx)
         select {shown()} from whole where {ERROR} is null""",
     "rejected_messages": REJECTED,

@@ -12,6 +12,7 @@ from ..operators.abtest import ALPHA, bootstrap_metrics, compare, summarize
 from ..operators.features import transaction_features
 from ..operators.registry import (
     before_run,
+    commit_run,
     comparison_values,
     log_decisions,
     log_values,
@@ -39,7 +40,8 @@ def run_ab_test(
 ) -> DataFrame:
     """Bootstrap the metrics of scored rows, test them against the experiment's previous run, log both.
 
-    Returns one row per metric; a first run has statistics only. ``decisions`` is a table for the texts.
+    Returns one row per metric; a first run has statistics only. ``decisions`` is a table for the texts. The run is
+    visible to later ones once all of it is written.
     """
     spark = scored.sparkSession
     start_registry(spark, registry)
@@ -48,9 +50,10 @@ def run_ab_test(
     # Written before it is logged: the comparison must not read the run it is about to add.
     compared = materialize(compare(summary, previous, alpha), "ab-test")
     values = summary_values(compared).unionByName(comparison_values(compared))
-    log_values(values, registry, experiment, run_id, start_time)
+    log_values(values, registry, experiment, run_id, start_time, commit=False)
     if decisions:
         log_decisions(compared, decisions, experiment, run_id)
+    commit_run(spark, registry, experiment, run_id)
     return compared
 
 
