@@ -457,6 +457,31 @@ def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(jobs.run_to_table(going_on, "from-history", source=path))
 
 
+def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages in order of days, every seventh sent again ten days later, an hour of delay: each is answered once.
+
+    Answers are released in several micro-batches, most copies come after their answer. ``repeats`` counts the copies.
+    """
+    tx = transactions(spark, sf_dir)
+    part = F.expr("tx_time_days div 5")
+    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
+    sent = texts.join(tx.select("transaction_id", part.alias("part")), "transaction_id").withColumn(
+        "copied", F.col("transaction_id") % 7 == 0
+    )
+    every = materialize(
+        sent.select("value", "part").unionByName(sent.where("copied").select("value", (F.col("part") + 2).alias("part"))), "sent"
+    )
+    path = scratch_path(spark, "messages")
+    for number in range(every.agg(F.max("part")).first()[0] + 1):  # a file for each five days
+        every.where(F.col("part") == number).select("value").coalesce(1).write.mode("append").text(path)
+    stream = messages.usable(messages.decode(messages.read_message_files(jobs.state_session(spark), path, max_files=1)))
+    kept = 60 * 86_400_000
+    table = jobs.run_to_table(state.transaction_state(stream, delay="1 hour", remember_ms=kept), "repeats", source=path)
+    copies = table.where("repeated_customer").groupBy("transaction_id").agg(F.count(F.lit(1)).alias("repeats"))
+    answers = _state_columns(table.where("not repeated_customer").drop("repeated_customer"))
+    return answers.join(copies, "transaction_id", "left").withColumn("repeats", F.coalesce("repeats", F.lit(0).cast("long")))
+
+
 def stateful_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, path = _stream(spark, sf_dir)
     return _state_columns(jobs.run_to_table(jobs.joined_state(stream, ANY_ORDER), "joined-state", source=path))
@@ -623,6 +648,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_terminal_state,
         stateful_features,
         stream_from_history,
+        stream_repeats,
         stateful_join,
         stream_distinct,
         stream_quarantine,

@@ -450,6 +450,8 @@ ORACLE: dict[str, str] = {
     "stream_customer_state": state(("customer",)),
     "stream_terminal_state": state(("terminal",)),
     "stateful_features": state(("customer", "terminal")),
+    "stream_repeats": f"""select *, cast(case when transaction_id % 7 = 0 then 1 else 0 end as bigint) as repeats
+        from ({state(("customer", "terminal"))})""",
     "stream_from_history": f"""select * from ({state(("customer", "terminal"))}) where transaction_id in
         (select event_id from events where ts >= timestamp '2024-01-16 00:00:00')""",
     "stateful_join": state(("customer", "terminal")),

@@ -35,17 +35,21 @@ def scored_messages(
     ttl_ms: int | None = None,
     delay: str = DELAY,
     history: DataFrame | None = None,
+    remember_ms: int | None = None,
 ) -> DataFrame:
     """Decode, add the running features from keyed state, score.
 
     Messages are scored in event-time order, once the watermark, ``delay`` behind the newest, has passed them.
     A key's first transactions have no spread yet and late ones no features: they come without a prediction and
-    with the reason, as in batch. ``history`` is the batch of transactions before the stream. Repeats that wait together are scored once; a repeat of an answered message is late.
+    with the reason, as in batch. ``history`` is the batch of transactions before the stream. Repeats that wait together are scored once; a repeat of an answered message is late. With
+    ``remember_ms`` every repeat comes back with the reason ``repeated``, so that each input message has its output row.
     """
-    features = transaction_state(usable(decode(messages)), ttl_ms, delay, history)
+    features = transaction_state(usable(decode(messages)), ttl_ms, delay, history, remember_ms)
     scored = predict_all(model, features)
     reason = F.when(F.col("late_customer") | F.col("late_terminal"), "late").otherwise(F.col("unscored"))
-    return scored.withColumn("unscored", reason).drop("late_customer", "late_terminal")
+    if remember_ms:
+        reason = F.when(F.col("repeated_customer"), "repeated").otherwise(reason)
+    return scored.withColumn("unscored", reason).drop("late_customer", "late_terminal", "repeated_customer")
 
 
 def joined_state(transactions: DataFrame, delay: str = DELAY, source: DataFrame | None = None) -> DataFrame:
@@ -91,11 +95,12 @@ def start_scoring(
     ttl_ms: int | None = None,
     delay: str = DELAY,
     history: DataFrame | None = None,
+    remember_ms: int | None = None,
     **options,
 ) -> list[StreamingQuery]:
     """Scored messages as JSON lines in ``target``, unusable ones in ``quarantine``; ``ttl_ms`` bounds the state."""
     return [
-        start(scored_messages(messages, model, ttl_ms, delay, history), target, f"{checkpoint}/scored", **options),
+        start(scored_messages(messages, model, ttl_ms, delay, history, remember_ms), target, f"{checkpoint}/scored", **options),
         start(rejected(decode(messages)), quarantine, f"{checkpoint}/rejected", **options),
     ]
 

@@ -34,6 +34,10 @@ _STATE = T.StructType([
     T.StructField("next_us", T.LongType()),
 ])
 _CHUNK = T.StructType([T.StructField("rows", T.BinaryType())])
+# Answered ids by the hour of their transactions: a repeat has the time of its first.
+_HOUR = T.StructType([T.StructField("hour", T.LongType())])
+_IDS = T.StructType([T.StructField("ids", T.BinaryType())])
+_HOUR_US = 3_600_000_000
 DELAY = "1 hour"
 
 
@@ -55,8 +59,18 @@ def _microseconds(times: pd.Series) -> np.ndarray:
 class RunningAmounts(StatefulProcessor):
     """Adds running mean, count, deviation and variance, and for customers the gap, to every row."""
 
-    def __init__(self, suffix: str, gap: bool, ttl_ms: int | None, schema: T.StructType, released: str | None):
+    def __init__(
+        self,
+        suffix: str,
+        gap: bool,
+        ttl_ms: int | None,
+        schema: T.StructType,
+        released: str | None,
+        remember_ms: int | None = None,
+        skip: str | None = None,
+    ):
         self.suffix, self.gap, self.ttl_ms, self.released = suffix, gap, ttl_ms, released
+        self.remember_ms, self.skip = remember_ms, skip
         fields = [(f.name, to_arrow_type(f.dataType, timestamp_utc=False)) for f in schema.fields]
         self.columns, self.rows = schema.names, pa.schema(fields)
 
@@ -64,6 +78,8 @@ class RunningAmounts(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("running", _STATE)
         self.waiting = handle.getListState("waiting", _CHUNK)
+        if self.remember_ms:
+            self.answered = handle.getMapState("answered", _HOUR, _IDS)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """What ``amounts_so_far`` has of this key: the stream goes on where the history ends."""
@@ -117,6 +133,8 @@ class RunningAmounts(StatefulProcessor):
             yield answered
         if self.ttl_ms and next_us is None and last is not None and last + self.ttl_ms * 1000 <= passed:
             self.state.clear()
+            if self.remember_ms:
+                self.answered.clear()
             return
         self.state.update((count, mean, m2, last, next_us))
         if next_us is not None and next_us != known[4]:
@@ -133,10 +151,17 @@ class RunningAmounts(StatefulProcessor):
         order = np.lexsort((ids, times))
         times, ids = times[order], ids[order]
         # A repeated message has the id and time of its first.
-        once = np.append(True, (times[1:] != times[:-1]) | (ids[1:] != ids[:-1]))
-        order, times = order[once], times[once]
+        again = np.append(False, (times[1:] == times[:-1]) & (ids[1:] == ids[:-1]))
+        if self.skip:
+            again = rows[self.skip].to_numpy(dtype=bool)[order]
+        elif not self.remember_ms:
+            order, times, again = order[~again], times[~again], np.full(int((~again).sum()), False)
         batch = rows.take(order)
         late = np.full(len(times), False) if last is None else times <= last
+        if self.remember_ms:
+            again |= self._answered_before(times, ids, late & ~again)
+            self._remember(times[~again], ids[~again], passed)
+        late |= again
         on_time = np.flatnonzero(~late)
         means, counts, m2s, gaps = (np.full(len(times), np.nan) for _ in range(4))
         amounts = batch["tx_amount"].to_numpy(dtype="float64")
@@ -167,12 +192,35 @@ class RunningAmounts(StatefulProcessor):
         if self.gap:
             result["time_since_last_tx"] = gaps
         result[f"late_{self.suffix}"] = late
+        if self.remember_ms:
+            result[f"repeated_{self.suffix}"] = again
         if self.released:
             # Later than all that the last micro-batch released, the same for every row that this one releases.
             at = datetime.fromtimestamp(passed / 1e6, timezone.utc).replace(tzinfo=None)
             result[self.released] = np.full(len(times), np.datetime64(at, "ns") + np.timedelta64(1, "ms"))
         return known, pd.DataFrame(result, copy=False)
 
+    def _answered_before(self, times: np.ndarray, ids: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """Which of the ``asked`` rows the register has; only their hours are read."""
+        found, hours = np.full(len(times), False), times // _HOUR_US
+        for hour in np.unique(hours[asked]):
+            if self.answered.containsKey((int(hour),)):
+                known = np.frombuffer(self.answered.getValue((int(hour),))[0], dtype="int64")
+                rows = asked & (hours == hour)
+                found[rows] = np.isin(ids[rows], known)
+        return found
+
+    def _remember(self, times: np.ndarray, ids: np.ndarray, passed: int) -> None:
+        """Add answered ids, drop the hours that lie further behind the watermark than ids are remembered."""
+        oldest, hours = (passed - self.remember_ms * 1000) // _HOUR_US, times // _HOUR_US
+        for (hour,) in list(self.answered.keys()):
+            if hour < oldest:
+                self.answered.removeKey((hour,))
+        for hour in np.unique(hours[hours >= oldest]):
+            key = (int(hour),)
+            known = self.answered.getValue(key)[0] if self.answered.containsKey(key) else b""
+            self.answered.updateValue(key, (bytes(known) + ids[hours == hour].astype("int64").tobytes(),))
+
     def _spells(self, on_time: np.ndarray, times: np.ndarray, last: int | None) -> Iterator[tuple[np.ndarray, bool]]:
         """The rows, cut where the key was not seen for longer than it is remembered, and whether it was forgotten."""
         if not len(on_time):
@@ -198,12 +246,19 @@ def running_amounts(
     output_mode: str = "update",
     released: str | None = None,
     history: DataFrame | None = None,
+    remember_ms: int | None = None,
+    skip: str | None = None,
 ) -> DataFrame:
     """All columns of a stream ``in_event_time``, the running features of ``key``, and whether the row was late.
 
     State is kept without limit unless ``ttl_ms`` is given: a key not seen for longer starts anew, and its state
     goes once the watermark is that far past its newest row. ``history`` holds earlier transactions: a key starts with
-    their count, mean and spread when the query starts for the first time. ``released`` names a column for the time of release, which operators that follow may take as watermark.
+    their count, mean and spread when the query starts for the first time.
+
+    With ``remember_ms`` each key keeps the ids that it has answered until the watermark is so far past them, by the hour
+    of the transaction. A message that was answered before, or waits beside its first, comes back as ``repeated_…``,
+    without statistics and without a trace in the state; without ``remember_ms`` repeats that wait together are dropped
+    and later ones are late. ``skip`` names a boolean column of rows that only pass through. ``released`` names a column for the time of release, which operators that follow may take as watermark.
     """
     added = [
         T.StructField(f"avg_tx_amount_{suffix}", T.DoubleType()),
@@ -214,12 +269,14 @@ def running_amounts(
     if gap:
         added.append(T.StructField("time_since_last_tx", T.DoubleType()))
     added.append(T.StructField(f"late_{suffix}", T.BooleanType()))
+    if remember_ms:
+        added.append(T.StructField(f"repeated_{suffix}", T.BooleanType()))
     if released:
         added.append(T.StructField(released, T.TimestampType()))
     if history is not None:
         _findable(stream)
     return stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, stream.schema, released),
+        statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, stream.schema, released, remember_ms, skip),
         outputStructType=T.StructType([*stream.schema.fields, *added]),
         outputMode="append" if released else output_mode,
         timeMode="EventTime",
@@ -260,9 +317,12 @@ def customer_state(
     delay: str = DELAY,
     released: str | None = None,
     history: DataFrame | None = None,
+    remember_ms: int | None = None,
 ) -> DataFrame:
     timed = in_event_time(stream, delay)
-    return running_amounts(timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released, history=history)
+    return running_amounts(
+        timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released, history=history, remember_ms=remember_ms
+    )
 
 
 def terminal_state(
@@ -277,12 +337,18 @@ def terminal_state(
 
 
 def transaction_state(
-    stream: DataFrame, ttl_ms: int | None = None, delay: str = DELAY, history: DataFrame | None = None
+    stream: DataFrame,
+    ttl_ms: int | None = None,
+    delay: str = DELAY,
+    history: DataFrame | None = None,
+    remember_ms: int | None = None,
 ) -> DataFrame:
     """Customer state, then terminal state, on the same rows: no join is needed.
 
     What the first step releases is due in the second, in the same micro-batch. ``history`` is the batch of earlier
-    transactions from which both start; messages as old as its newest row of their key are late.
+    transactions from which both start; messages as old as its newest row of their key are late. With ``remember_ms``
+    the first step tells repeats, which the second lets pass.
     """
-    customers = customer_state(stream, ttl_ms, delay, history=history)
-    return running_amounts(customers, "terminal_id", "terminal", ttl_ms=ttl_ms, history=history)
+    customers = customer_state(stream, ttl_ms, delay, history=history, remember_ms=remember_ms)
+    skip = "repeated_customer" if remember_ms else None
+    return running_amounts(customers, "terminal_id", "terminal", ttl_ms=ttl_ms, history=history, skip=skip)
