@@ -68,7 +68,7 @@ def test_every_message_is_answered_once(spark, fresh_path):
     """Copies that wait with their first, that come after its answer, and a late message with its copy."""
     one, two, three = message(1, "10:00:00"), message(2, "10:00:05"), message(3, "15:00:00", terminal=5)
     old = message(4, "09:00:00")
-    path = text_files(spark, fresh_path("in"), [[one, one, two], [three], [one, old], [old, two, two]], pause=1.05)
+    path = text_files(spark, fresh_path("in"), [[one, one, two], [three], [one], [old], [old, two, two]], pause=1.05)
     ours = drained(spark, path, lambda s: state.transaction_state(s, delay="1 hour", remember_ms=7 * 86_400_000)).collect()
     count = lambda i, f: sum(r["transaction_id"] == i and f(r) for r in ours)
     assert [count(i, lambda r: not r["repeated_customer"]) for i in (1, 2, 3, 4)] == [1, 1, 1, 1]
