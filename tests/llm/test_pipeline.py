@@ -33,3 +33,11 @@ def test_stages_against_brute_force(spark):
 
 def test_run_is_the_stages(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_columns_of_the_names_that_mixing_adds_give_way(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clashing = docs.selectExpr("*", "'mine' as domain", "-1 as N_Tokens", "'kept' as other")
+    mixed = materialize(corpus_pipeline.mixing(spark, clashing, SF), "clashing")
+    assert mixed.columns == [*docs.columns, "other", "domain", "n_tokens", "epoch"]
+    assert mixed.where("n_tokens < 0 or domain = 'mine' or other <> 'kept'").isEmpty() and not mixed.isEmpty()
