@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from ..functions.temporal import THURSDAY_TO_SATURDAY, is_weekend, on_day
 from ..operators import abtest, cleaning, curves, features, metrics, quality, registry, sampling, scaling, windows
 from ..operators.skew import DEFAULT, HotKeys
 from ..session import materialize, scratch_path
-from ..sinks.parquet import overwrite_days
+from ..sinks.parquet import overwrite_days, write_new
 from ..sources.landing import land
 from ..sources.ledger import land_new, read_landed
 from ..sources.tables import list_datasets, list_files, read_clean
@@ -77,6 +78,20 @@ def clean_by_file_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentable(per_day.agg(F.count(F.lit(1)).alias("kept_rows"), F.sum("tx_amount").alias("total_amount")))
 
 
+def clean_written_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written in order of day and id to a new path; a second write to it must fail and change nothing."""
+    target, cleaned = scratch_path(spark, "clean-once"), cleaning.clean(read_raw(spark, raw_files(spark, sf_dir)))
+    write_new(cleaned, target, globally_sorted=True)
+    try:
+        write_new(cleaned, target)
+    except AnalysisException:
+        kept = read_clean(spark, target)
+    else:
+        raise RuntimeError("written twice")
+    id_ = F.col("transaction_id")
+    return kept.groupBy("tx_date").agg(F.count(F.lit(1)).alias("kept_rows"), F.min(id_).alias("first_id"), F.max(id_).alias("last_id"))
+
+
 def dedup_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     shared = transactions(spark, sf_dir).withColumn("transaction_id", F.floor(F.col("transaction_id") / 3))
     return presentable(cleaning.first_by_id(shared))
@@ -593,6 +608,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in [
         clean_transactions,
         clean_by_file_day,
+        clean_written_once,
         dedup_by_id,
         typed_scan_lossy,
         quality_report,

@@ -263,6 +263,8 @@ ORACLE: dict[str, str] = {
     "clean_transactions": f"with {CLEAN} select {shown()}, tx_date from clean",
     "clean_by_file_day": f"""with {CLEAN} select tx_date, count(*) as kept_rows,
         {r('sum(tx_amount)')} as total_amount from clean group by tx_date""",
+    "clean_written_once": f"""with {CLEAN} select tx_date, count(*) as kept_rows, min(transaction_id) as first_id,
+        max(transaction_id) as last_id from clean group by tx_date""",
     "dedup_by_id": f"""with {TX}, shared as (select * replace (transaction_id // 3 as transaction_id) from tx)
         select {shown()} from shared
         qualify row_number() over (partition by transaction_id order by tx_datetime) = 1""",
