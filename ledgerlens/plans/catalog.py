@@ -472,6 +472,26 @@ def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(jobs.run_to_table(going_on, "from-history", source=path))
 
 
+def _stream_in_order(spark: SparkSession, sent: DataFrame) -> tuple[DataFrame, str]:
+    """Usable messages of a written table ``(value, part)``, a micro-batch for each part, and their folder."""
+    path = scratch_path(spark, "messages")
+    for number in range(sent.agg(F.max("part")).first()[0] + 1):
+        sent.where(F.col("part") == number).select("value").coalesce(1).write.mode("append").text(path)
+    return messages.usable(messages.decode(messages.read_message_files(jobs.state_session(spark), path, max_files=1))), path
+
+
+def stream_hot_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all messages at one terminal, in order of days, an hour of delay: its rows wait in buckets of time."""
+    tx = transactions(spark, sf_dir).withColumn(
+        "terminal_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("terminal_id"))
+    )
+    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
+    parts = tx.select("transaction_id", F.expr("tx_time_days div 5").alias("part"))
+    stream, path = _stream_in_order(spark, materialize(texts.join(parts, "transaction_id").select("value", "part"), "sent"))
+    few = state.Buffer(rows=20, seconds=1800)
+    return _state_columns(jobs.run_to_table(state.terminal_state(stream, delay="1 hour", buffer=few), "hot", source=path))
+
+
 def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in order of days, every seventh sent again ten days later, an hour of delay: each is answered once.
 
@@ -486,10 +506,7 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = materialize(
         sent.select("value", "part").unionByName(sent.where("copied").select("value", (F.col("part") + 2).alias("part"))), "sent"
     )
-    path = scratch_path(spark, "messages")
-    for number in range(every.agg(F.max("part")).first()[0] + 1):  # a file for each five days
-        every.where(F.col("part") == number).select("value").coalesce(1).write.mode("append").text(path)
-    stream = messages.usable(messages.decode(messages.read_message_files(jobs.state_session(spark), path, max_files=1)))
+    stream, path = _stream_in_order(spark, every)
     kept = 60 * 86_400_000
     table = jobs.run_to_table(state.transaction_state(stream, delay="1 hour", remember_ms=kept), "repeats", source=path)
     copies = table.where("repeated_customer").groupBy("transaction_id").agg(F.count(F.lit(1)).alias("repeats"))
@@ -664,6 +681,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_terminal_state,
         stateful_features,
         stream_from_history,
+        stream_hot_terminal,
         stream_repeats,
         stateful_join,
         stream_distinct,

@@ -227,7 +227,7 @@ REJECTED = f"with {TX} select {ERROR} as error, count(*) as row_count from tx wh
 
 
 # A stream sees whole seconds and one transaction after the other: a ROWS frame in order of time and id.
-def state(suffixes: tuple[str, ...]) -> str:
+def state(suffixes: tuple[str, ...], replaced: str = "") -> str:
     columns = []
     for suffix in suffixes:
         w = suffix[0]
@@ -244,7 +244,7 @@ def state(suffixes: tuple[str, ...]) -> str:
         f"{s[0]} as (partition by {s}_id order by tx_datetime, transaction_id rows unbounded preceding)"
         for s in suffixes
     )
-    return f"""with {TX}, whole as (select * replace (date_trunc('second', tx_datetime) as tx_datetime) from tx)
+    return f"""with {TX}, whole as (select * replace (date_trunc('second', tx_datetime) as tx_datetime{replaced}) from tx)
         select transaction_id, {', '.join(columns)} from whole window {windows}"""
 
 
@@ -452,6 +452,9 @@ ORACLE: dict[str, str] = {
     "stream_customer_state": state(("customer",)),
     "stream_terminal_state": state(("terminal",)),
     "stateful_features": state(("customer", "terminal")),
+    "stream_hot_terminal": state(
+        ("terminal",), ", case when transaction_id % 3 = 0 then 0 else terminal_id end as terminal_id"
+    ),
     "stream_repeats": f"""select *, cast(case when transaction_id % 7 = 0 then 1 else 0 end as bigint) as repeats
         from ({state(("customer", "terminal"))})""",
     "stream_from_history": f"""select * from ({state(("customer", "terminal"))}) where transaction_id in

@@ -4,7 +4,8 @@ A row window is not available on a stream, so each key keeps count, mean and the
 distances from the mean, which do not cancel as a plain sum of squares would. Rows wait in the key's
 buffer until the watermark has passed their time, and are then answered in order of time and id, equal
 times as peers, as in the batch windows. So the result does not depend on how the input was cut into
-micro-batches. No row is dropped: one that comes after later rows of its key were answered is *late*; it
+micro-batches. A key with more waiting rows than its list may hold deals the others into buckets of event
+time, which are read and answered one after the other: a hot key costs a bucket of memory and no more. No row is dropped: one that comes after later rows of its key were answered is *late*; it
 is returned without statistics and leaves the state as it is.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -32,8 +34,12 @@ _STATE = T.StructType([
     T.StructField("m2", T.DoubleType()),
     T.StructField("last_us", T.LongType()),
     T.StructField("next_us", T.LongType()),
+    T.StructField("held", T.LongType()),
+    T.StructField("dealt", T.LongType()),
 ])
+_NEW = (0, 0.0, 0.0, None, None, 0, 0)
 _CHUNK = T.StructType([T.StructField("rows", T.BinaryType())])
+_PLACE = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("number", T.LongType())])
 # Answered ids by the hour of their transactions: a repeat has the time of its first.
 _HOUR = T.StructType([T.StructField("hour", T.LongType())])
 _IDS = T.StructType([T.StructField("ids", T.BinaryType())])
@@ -41,6 +47,17 @@ _HOUR_US = 3_600_000_000
 DELAY = "1 hour"
 
 
+@dataclass(frozen=True)
+class Buffer:
+    """How a key's rows wait: up to ``rows`` in one list, what exceeds them in buckets of ``seconds``."""
+
+    rows: int = 50_000
+    seconds: int = 60
+
+
+DEFAULT = Buffer()
+
+
 def in_event_time(stream: DataFrame, delay: str = DELAY) -> DataFrame:
     """The stream with a watermark, which trails the newest time by ``delay``, but without its marked column.
 
@@ -68,9 +85,11 @@ class RunningAmounts(StatefulProcessor):
         released: str | None,
         remember_ms: int | None = None,
         skip: str | None = None,
+        buffer: Buffer = DEFAULT,
     ):
         self.suffix, self.gap, self.ttl_ms, self.released = suffix, gap, ttl_ms, released
         self.remember_ms, self.skip = remember_ms, skip
+        self.most_rows, self.bucket_us = buffer.rows, buffer.seconds * 1_000_000
         fields = [(f.name, to_arrow_type(f.dataType, timestamp_utc=False)) for f in schema.fields]
         self.columns, self.rows = schema.names, pa.schema(fields)
 
@@ -78,6 +97,7 @@ class RunningAmounts(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("running", _STATE)
         self.waiting = handle.getListState("waiting", _CHUNK)
+        self.buckets = handle.getMapState("buckets", _PLACE, _CHUNK)
         if self.remember_ms:
             self.answered = handle.getMapState("answered", _HOUR, _IDS)
 
@@ -85,63 +105,112 @@ class RunningAmounts(StatefulProcessor):
         """What ``amounts_so_far`` has of this key: the stream goes on where the history ends."""
         known = initialState.iloc[0]
         last = int(known["last_us"])
-        self.state.update((int(known["count"]), float(known["mean"]), float(known["m2"]), last, None))
+        self.state.update((int(known["count"]), float(known["mean"]), float(known["m2"]), last, None, 0, 0))
         if self.ttl_ms:
             self._call_at(last + self.ttl_ms * 1000)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        known = self.state.get() if self.state.exists() else (0, 0.0, 0.0, None, None)
-        due, first = [], known[4]
+        known = self.state.get() if self.state.exists() else _NEW
+        due, ready, first, held, dealt = [], 0, *known[4:]
         for chunk in rows:
-            times = _microseconds(chunk["tx_datetime"])
-            ripe = times <= passed
-            if ripe.any():
-                due.append(chunk[ripe])
-            if not ripe.all():
-                self._wait(chunk[~ripe])
-                earliest = int(times[~ripe].min())
+            ripe = _microseconds(chunk["tx_datetime"]) <= passed
+            for part, now in ((chunk[ripe], True), (chunk[~ripe], False)):
+                if not len(part):
+                    continue
+                if now and ready + len(part) <= self.most_rows:
+                    due.append(part)
+                    ready += len(part)
+                    continue
+                earliest = int(_microseconds(part["tx_datetime"]).min())
                 first = earliest if first is None else min(first, earliest)
-        yield from self._advance(known, due, first, passed)
+                if not now and held + len(part) <= self.most_rows:
+                    self.waiting.appendValue((self._packed(part),))
+                    held += len(part)
+                else:
+                    dealt = self._deal(part, dealt)
+        yield from self._advance(known[:4], due, first, held, dealt, passed, known[4])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.state.exists():
             known = self.state.get()
-            yield from self._advance(known, [], known[4], timerValues.getCurrentWatermarkInMs() * 1000)
+            yield from self._advance(known[:4], [], *known[4:], timerValues.getCurrentWatermarkInMs() * 1000, known[4])
 
-    def _wait(self, rows: pd.DataFrame) -> None:
-        batch = pa.RecordBatch.from_pandas(rows, schema=self.rows, preserve_index=False)
-        self.waiting.appendValue((batch.serialize().to_pybytes(),))
+    def _packed(self, rows: pd.DataFrame) -> bytes:
+        return pa.RecordBatch.from_pandas(rows, schema=self.rows, preserve_index=False).serialize().to_pybytes()
 
-    def _advance(self, known: tuple, due: list[pd.DataFrame], first: int | None, passed: int) -> Iterator[pd.DataFrame]:
+    def _unpacked(self, chunks: list[bytes]) -> list[pd.DataFrame]:
+        return [pa.ipc.read_record_batch(pa.py_buffer(c), self.rows).to_pandas() for c in chunks]
+
+    def _deal(self, rows: pd.DataFrame, dealt: int) -> int:
+        """Put rows into the buckets of their times, as chunks with numbers of their own: none is rewritten."""
+        for bucket, part in rows.groupby(_microseconds(rows["tx_datetime"]) // self.bucket_us):
+            self.buckets.updateValue((int(bucket), dealt), (self._packed(part),))
+            dealt += 1
+        return dealt
+
+    def _advance(
+        self, known: tuple, due: list[pd.DataFrame], first: int | None, held: int, dealt: int, passed: int, called: int | None
+    ) -> Iterator[pd.DataFrame]:
         """Answer what the watermark has passed, keep the rest, and ask to be called when more is due."""
         next_us = first
         if first is not None and first <= passed:
-            held = [pa.ipc.read_record_batch(pa.py_buffer(c[0]), self.rows).to_pandas() for c in self.waiting.get()]
-            self.waiting.clear()
-            held = held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
-            times = _microseconds(held["tx_datetime"])
-            ripe = times <= passed
-            due, next_us = [*due, held[ripe]], None
-            if not ripe.all():
-                self._wait(held[~ripe])
-                next_us = int(times[~ripe].min())
-        count, mean, m2, last = known[:4]
+            next_us = None
+            if held:
+                rows = pd.concat(self._unpacked([c[0] for c in self.waiting.get()]), ignore_index=True)
+                self.waiting.clear()
+                times = _microseconds(rows["tx_datetime"])
+                ripe, held = times <= passed, 0
+                due = [*due, rows[ripe]]
+                if not ripe.all():
+                    self.waiting.appendValue((self._packed(rows[~ripe]),))
+                    held, next_us = int((~ripe).sum()), int(times[~ripe].min())
+            if dealt:
+                places: dict[int, list[tuple]] = {}
+                for place in self.buckets.keys():
+                    places.setdefault(place[0], []).append(tuple(place))
+                after = [bucket * self.bucket_us for bucket in places if bucket * self.bucket_us > passed]
+                for bucket in sorted(bucket for bucket in places if bucket * self.bucket_us <= passed):
+                    mine = sorted(places[bucket])
+                    rows = pd.concat(self._unpacked([self.buckets.getValue(p)[0] for p in mine]), ignore_index=True)
+                    for place in mine:
+                        self.buckets.removeKey(place)
+                    times = _microseconds(rows["tx_datetime"])
+                    ripe = times <= passed
+                    if not ripe.all():
+                        dealt = self._deal(rows[~ripe], dealt)
+                        after.append(int(times[~ripe].min()))
+                    due, rest = self._until([*due, rows[ripe]], (bucket + 1) * self.bucket_us)
+                    if len(due):
+                        known, answered = self._answer(known, due, passed)
+                        yield answered
+                    due = [rest]
+                next_us = min([*after, *([] if next_us is None else [next_us])], default=None)
+                dealt = dealt if after else 0
+        due = [rows for rows in due if len(rows)]
         if due:
             rows = due[0] if len(due) == 1 else pd.concat(due, ignore_index=True)
-            (count, mean, m2, last), answered = self._answer((count, mean, m2, last), rows, passed)
+            known, answered = self._answer(known, rows, passed)
             yield answered
+        last = known[3]
         if self.ttl_ms and next_us is None and last is not None and last + self.ttl_ms * 1000 <= passed:
             self.state.clear()
             if self.remember_ms:
                 self.answered.clear()
             return
-        self.state.update((count, mean, m2, last, next_us))
-        if next_us is not None and next_us != known[4]:
+        self.state.update((*known, next_us, held, dealt))
+        if next_us is not None and next_us != called:
             self._call_at(next_us)
         elif self.ttl_ms and next_us is None:
             self._call_at(last + self.ttl_ms * 1000)
 
+    @staticmethod
+    def _until(parts: list[pd.DataFrame], end_us: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The rows before a time, and the others."""
+        rows = pd.concat(parts, ignore_index=True)
+        before = _microseconds(rows["tx_datetime"]) < end_us
+        return rows[before], rows[~before]
+
     def _call_at(self, time_us: int) -> None:
         self.handle.registerTimer(-(-time_us // 1000))
 
@@ -248,6 +317,7 @@ def running_amounts(
     history: DataFrame | None = None,
     remember_ms: int | None = None,
     skip: str | None = None,
+    buffer: Buffer = DEFAULT,
 ) -> DataFrame:
     """All columns of a stream ``in_event_time``, the running features of ``key``, and whether the row was late.
 
@@ -276,7 +346,7 @@ def running_amounts(
     if history is not None:
         _findable(stream)
     return stream.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, stream.schema, released, remember_ms, skip),
+        statefulProcessor=RunningAmounts(suffix, gap, ttl_ms, stream.schema, released, remember_ms, skip, buffer),
         outputStructType=T.StructType([*stream.schema.fields, *added]),
         outputMode="append" if released else output_mode,
         timeMode="EventTime",
@@ -318,10 +388,12 @@ def customer_state(
     released: str | None = None,
     history: DataFrame | None = None,
     remember_ms: int | None = None,
+    buffer: Buffer = DEFAULT,
 ) -> DataFrame:
     timed = in_event_time(stream, delay)
     return running_amounts(
-        timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released, history=history, remember_ms=remember_ms
+        timed, "customer_id", "customer", gap=True, ttl_ms=ttl_ms, released=released, history=history,
+        remember_ms=remember_ms, buffer=buffer,
     )
 
 
@@ -331,9 +403,12 @@ def terminal_state(
     delay: str = DELAY,
     released: str | None = None,
     history: DataFrame | None = None,
+    buffer: Buffer = DEFAULT,
 ) -> DataFrame:
     timed = in_event_time(stream, delay)
-    return running_amounts(timed, "terminal_id", "terminal", ttl_ms=ttl_ms, released=released, history=history)
+    return running_amounts(
+        timed, "terminal_id", "terminal", ttl_ms=ttl_ms, released=released, history=history, buffer=buffer
+    )
 
 
 def transaction_state(
@@ -342,6 +417,7 @@ def transaction_state(
     delay: str = DELAY,
     history: DataFrame | None = None,
     remember_ms: int | None = None,
+    buffer: Buffer = DEFAULT,
 ) -> DataFrame:
     """Customer state, then terminal state, on the same rows: no join is needed.
 
@@ -349,6 +425,6 @@ def transaction_state(
     transactions from which both start; messages as old as its newest row of their key are late. With ``remember_ms``
     the first step tells repeats, which the second lets pass.
     """
-    customers = customer_state(stream, ttl_ms, delay, history=history, remember_ms=remember_ms)
+    customers = customer_state(stream, ttl_ms, delay, history=history, remember_ms=remember_ms, buffer=buffer)
     skip = "repeated_customer" if remember_ms else None
-    return running_amounts(customers, "terminal_id", "terminal", ttl_ms=ttl_ms, history=history, skip=skip)
+    return running_amounts(customers, "terminal_id", "terminal", ttl_ms=ttl_ms, history=history, skip=skip, buffer=buffer)

@@ -1,6 +1,8 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from helpers import START, by_id, close, tx_frame
 from test_streaming import STATE, drained, message, text_files
@@ -61,6 +63,108 @@ def test_far_times_are_set_aside_and_the_end_is_not(spark, fresh_path):
     assert [r["transaction_id"] for r in ours.collect()] == [4]
 
 
+# buckets
+
+
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("buffer", [state.Buffer(1, 60), state.Buffer(7, 1), state.Buffer(5, 600)])
+def test_rows_in_buckets_are_answered_as_those_in_the_list(spark, fresh_path, seed, buffer):
+    rows = history_rows(seed, 80)
+    whole = tx_frame(spark, *rows)
+    texts = [r["value"] for r in messages.encode(whole).orderBy("transaction_id").collect()]
+    mixed = [texts[i : i + 20][::-1] for i in range(0, 80, 20)]
+    path = text_files(spark, fresh_path("in"), mixed, pause=1.05)
+    ours = by_id(drained(spark, path, lambda s: state.transaction_state(s, delay="10 minutes", buffer=buffer)), *STATE)
+    batch = windows.running_features(whole, ["customer_id"], "customer", gap=True, population_variance=True)
+    batch = by_id(windows.running_features(batch, ["terminal_id"], "terminal", population_variance=True, source=whole), *STATE)
+    assert ours.keys() == batch.keys()
+    for i in ours:
+        assert all(close(a, b) for a, b in zip(ours[i], batch[i])), (i, ours[i], batch[i])
+
+
+class Memory:
+    """A state variable in memory, with what the tested processor calls."""
+
+    def __init__(self):
+        self.values, self.most = {}, 0
+
+    def appendValue(self, value):
+        self.values[len(self.values)] = value
+
+    def updateValue(self, key, value):
+        assert key not in self.values  # no chunk is rewritten
+        self.values[key] = value
+
+    def getValue(self, key):
+        return self.values[key]
+
+    def removeKey(self, key):
+        del self.values[key]
+
+    def keys(self):
+        return iter(list(self.values))
+
+    def get(self):
+        return iter(list(self.values.values()))
+
+    def clear(self):
+        self.values = {}
+
+
+def test_a_hot_key_is_answered_bucket_by_bucket(spark):
+    """A third of 100,000 rows at one terminal: no answer is of more rows than a bucket and the list hold."""
+    schema = "transaction_id long, tx_datetime timestamp, tx_amount double"
+    empty = spark.createDataFrame([], schema)
+    hot = state.RunningAmounts("terminal", False, None, empty.schema, None, buffer=state.Buffer(rows=2000, seconds=600))
+    hot.waiting, hot.buckets = Memory(), Memory()
+
+    class One:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        def registerTimer(self, at):
+            pass
+
+    class Clock:
+        now = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    hot.state, hot.handle, clock = One(), Handle(), Clock()
+    n = 33_333
+    amounts = np.random.default_rng(3).uniform(1, 100, n)
+    rows = pd.DataFrame({
+        "transaction_id": np.arange(n),
+        "tx_datetime": pd.to_datetime(1_704_067_200 + np.arange(n) * 2, unit="s"),
+        "tx_amount": amounts,
+    })
+    shuffled = rows.sample(frac=1, random_state=1)
+    chunks = [shuffled.iloc[i : i + 5000] for i in range(0, n, 5000)]
+    assert list(hot.handleInputRows((1,), iter(chunks[:4]), clock)) == []
+    assert list(hot.handleInputRows((1,), iter(chunks[4:]), clock)) == []
+    half = 1_704_067_200 + n  # inside a bucket
+    clock.now = half * 1000
+    answers = list(hot.handleExpiredTimer((1,), clock, None))
+    assert sum(map(len, answers)) == n // 2 + 1 and hot.state.get()[4] == (half + 1) * 1_000_000
+    clock.now = 4_000_000_000_000
+    answers += list(hot.handleExpiredTimer((1,), clock, None))
+    assert max(map(len, answers)) <= 2000 + 300 and not hot.buckets.values and not hot.waiting.values
+    every = pd.concat(answers)
+    assert every["transaction_id"].tolist() == list(range(n)) and not every["late_terminal"].any()
+    assert np.allclose(every["avg_tx_amount_terminal"], np.cumsum(amounts) / np.arange(1, n + 1))
+    assert hot.state.get()[4:] == (None, 0, 0)
+
+
 # repeats
 
 
