@@ -60,31 +60,37 @@ def duplicate_groups(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
-def quality_report(raw: DataFrame, lines: DataFrame) -> DataFrame:
+def quality_report(raw: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Rows per kind of defect. A row may count under several; ``comment`` counts lines.
 
+    ``raw`` of ``text.read_marked`` has the comments beside the rows: one scan gives all. Else they are in ``lines``.
     Distinct rows are counted once with their number of copies, so the whole report is one shuffle,
     and copies collapse before it.
     """
-    distinct = raw.groupBy(*COLUMNS, "file_day").agg(F.count(F.lit(1)).alias("copies"))
+    if lines is None:
+        marked = raw
+    else:
+        comments = lines.filter(F.startswith("value", F.lit("#"))).select(F.lit(True).alias("is_comment"))
+        marked = raw.withColumn("is_comment", F.lit(False)).unionByName(comments, allowMissingColumns=True)
+    distinct = marked.groupBy(*COLUMNS, "file_day", "is_comment").agg(F.count(F.lit(1)).alias("copies"))
+    is_row = ~F.col("is_comment")
 
     def rows(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+        return F.coalesce(F.sum(F.when(is_row & condition, F.col("copies"))), F.lit(0))
 
     def any_of(conditions: list[Column]) -> Column:
         return reduce(lambda a, b: a | b, conditions)
 
     measures = {
         "rows": rows(F.lit(True)),
-        "duplicate": F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)),
+        "duplicate": F.coalesce(F.sum(F.when(is_row, F.col("copies") - 1)), F.lit(0)),
         "midnight": rows(cleaning.is_midnight()),
         "foreign_day": rows(cleaning.is_foreign_day()),
         "missing": rows(cleaning.is_missing()),
         "not_castable": rows(any_of([cleaning.is_uncastable(c) for c in COLUMNS])),
         "negative": rows(any_of([cleaning.is_negative(c) for c in NUMERIC_COLUMNS])),
+        "comment": F.coalesce(F.sum(F.when(F.col("is_comment"), F.col("copies"))), F.lit(0)),
     }
     totals = distinct.agg(*[m.alias(name) for name, m in measures.items()])
     pairs = ", ".join(f"'{name}', `{name}`" for name in measures)
-    report = totals.selectExpr(f"stack({len(measures)}, {pairs}) as (defect, row_count)")
-    comments = lines.filter(F.startswith("value", F.lit("#"))).agg(F.count(F.lit(1)).alias("row_count"))
-    return report.unionByName(comments.select(F.lit("comment").alias("defect"), "row_count"))
+    return totals.selectExpr(f"stack({len(measures)}, {pairs}) as (defect, row_count)")

@@ -114,7 +114,7 @@ def running_features(
 
     # The rows already lie by (keys, _slice); only the small slice totals move for this join.
     carry = _earlier_slices(history, keys, prior_fraud)
-    joined = windowed.join(carry, _same_slice(keys), "left")
+    joined = windowed.join(carry, same_slice(keys), "left")
 
     # Two groups of amounts merge into one by their counts, means and sums of squared distances.
     merged = joined.selectExpr(
@@ -141,7 +141,7 @@ def running_features(
     return merged.selectExpr(*[f"`{c}`" for c in df.columns], *out)
 
 
-def _same_slice(keys: list[str]):
+def same_slice(keys: list[str]):
     return same_key(keys, "_c_") & F.expr("_slice = _c_slice")
 
 
@@ -267,7 +267,7 @@ def _trailing_of_hot(
     upto = f"over (partition by {quoted(keys)}, _slice order by _at)"
     rows = [f"`{c}`" for c in hot.columns]
     running = events.selectExpr(*rows, "_slice", "_enters", *[f"sum({c}) {upto} as {c}" for c in moved])
-    joined = running.filter("_enters").join(carry, _same_slice(keys), "left")
+    joined = running.filter("_enters").join(carry, same_slice(keys), "left")
 
     columns = []
     for name in spans:

@@ -33,7 +33,7 @@ from ..sinks.parquet import overwrite_days, write_new
 from ..sources.landing import land
 from ..sources.ledger import land_new, read_landed
 from ..sources.tables import list_datasets, list_files, read_clean
-from ..sources.text import read_lines, read_raw, read_typed
+from ..sources.text import read_marked, read_raw, read_typed
 from ..streaming import jobs, messages, state
 from . import modeling, training
 
@@ -101,17 +101,16 @@ def typed_scan_lossy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presentable(cleaning.clean_typed(read_typed(spark, raw_files(spark, sf_dir))))
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    path = raw_files(spark, sf_dir)
-    return read_raw(spark, path), read_lines(spark, path)
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_raw(spark, raw_files(spark, sf_dir))
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(*_raw(spark, sf_dir))
+    return quality.quality_report(read_marked(spark, raw_files(spark, sf_dir)))
 
 
 def cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.cast_failures(_raw(spark, sf_dir)[0])
+    return quality.cast_failures(_raw(spark, sf_dir))
 
 
 def negative_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +118,11 @@ def negative_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.duplicate_groups(_raw(spark, sf_dir)[0])
+    return quality.duplicate_groups(_raw(spark, sf_dir))
 
 
 def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = cleaning.quarantine(_raw(spark, sf_dir)[0])
+    bad = cleaning.quarantine(_raw(spark, sf_dir))
     return bad.groupBy("file_day", "defect").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -278,6 +277,24 @@ def tied_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: How long a customer or terminal is remembered in the queries with expiry.
+REMEMBERED_MS = 86_400_000
+
+
+def _expiring(spark: SparkSession, sf_dir: str, policy: HotKeys) -> DataFrame:
+    """Running features of keys that are forgotten after a day, on whole seconds as in messages."""
+    tx = transactions(spark, sf_dir).withColumn("tx_datetime", F.date_trunc("second", "tx_datetime"))
+    return _new_columns(features.transaction_features(tx, policy=policy, complete=False, ttl_ms=REMEMBERED_MS), tx).drop("is_weekend")
+
+
+def expiring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _expiring(spark, sf_dir, DEFAULT)
+
+
+def expiring_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _expiring(spark, sf_dir, TINY)
+
+
 def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir)
     both = features.calendar_features(tx).withColumn(
@@ -472,6 +489,19 @@ def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(jobs.run_to_table(going_on, "from-history", source=path))
 
 
+def _by_days(spark: SparkSession, tx: DataFrame) -> DataFrame:
+    """Messages with their ``transaction_id`` and the five days they are of."""
+    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
+    return texts.join(tx.select("transaction_id", F.expr("tx_time_days div 5").alias("part")), "transaction_id")
+
+
+def stream_expiring_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``expiring_features`` from a stream in order of days, whose keys are forgotten after a day."""
+    stream, path = _stream_in_order(spark, materialize(_by_days(spark, transactions(spark, sf_dir)), "sent"))
+    table = jobs.run_to_table(state.transaction_state(stream, REMEMBERED_MS, delay="1 hour"), "expiring", source=path)
+    return _state_columns(table).drop("var_pop_tx_amount_customer", "var_pop_tx_amount_terminal")
+
+
 def _stream_in_order(spark: SparkSession, sent: DataFrame) -> tuple[DataFrame, str]:
     """Usable messages of a written table ``(value, part)``, a micro-batch for each part, and their folder."""
     path = scratch_path(spark, "messages")
@@ -485,9 +515,7 @@ def stream_hot_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir).withColumn(
         "terminal_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("terminal_id"))
     )
-    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
-    parts = tx.select("transaction_id", F.expr("tx_time_days div 5").alias("part"))
-    stream, path = _stream_in_order(spark, materialize(texts.join(parts, "transaction_id").select("value", "part"), "sent"))
+    stream, path = _stream_in_order(spark, materialize(_by_days(spark, tx), "sent"))
     few = state.Buffer(rows=20, seconds=1800)
     return _state_columns(jobs.run_to_table(state.terminal_state(stream, delay="1 hour", buffer=few), "hot", source=path))
 
@@ -497,12 +525,7 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Answers are released in several micro-batches, most copies come after their answer. ``repeats`` counts the copies.
     """
-    tx = transactions(spark, sf_dir)
-    part = F.expr("tx_time_days div 5")
-    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
-    sent = texts.join(tx.select("transaction_id", part.alias("part")), "transaction_id").withColumn(
-        "copied", F.col("transaction_id") % 7 == 0
-    )
+    sent = _by_days(spark, transactions(spark, sf_dir)).withColumn("copied", F.col("transaction_id") % 7 == 0)
     every = materialize(
         sent.select("value", "part").unionByName(sent.where("copied").select("value", (F.col("part") + 2).alias("part"))), "sent"
     )
@@ -654,6 +677,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         prior_fraud,
         pair_features,
         tied_times,
+        expiring_features,
+        expiring_features_hot,
         calendar_features,
         scaled_features_pop,
         scaled_features_std,
@@ -682,6 +707,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stateful_features,
         stream_from_history,
         stream_hot_terminal,
+        stream_expiring_state,
         stream_repeats,
         stateful_join,
         stream_distinct,

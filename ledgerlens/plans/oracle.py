@@ -248,6 +248,28 @@ def state(suffixes: tuple[str, ...], replaced: str = "") -> str:
         select transaction_id, {', '.join(columns)} from whole window {windows}"""
 
 
+# Keys that are forgotten after a day: islands of transactions without a longer gap, each counted on its own.
+def expiring() -> str:
+    steps, columns = [f"{TX}, base as (select * replace (date_trunc('second', tx_datetime) as tx_datetime) from tx)"], []
+    for key in ("customer", "terminal"):
+        steps.append(f"""{key}_gaps as (
+  select transaction_id, {key}_id, tx_datetime, tx_amount,
+         lag(tx_datetime) over (partition by {key}_id order by tx_datetime, transaction_id) as previous from base),
+{key}_islands as (
+  select *, sum(case when tx_datetime <= previous + interval 1 day then 0 else 1 end) over (
+             partition by {key}_id order by tx_datetime, transaction_id rows unbounded preceding) as island
+  from {key}_gaps),
+{key}_counted as (
+  select transaction_id, avg(tx_amount) over w as a, count(*) over w as n, stddev_samp(tx_amount) over w as s,
+         epoch(tx_datetime) - epoch(lag(tx_datetime) over (
+             partition by {key}_id, island order by tx_datetime, transaction_id)) as gap
+  from {key}_islands window w as (partition by {key}_id, island order by tx_datetime))""")
+        c = key[0]
+        columns += [f"{r(f'{c}.a')} as avg_tx_amount_{key}", f"{c}.n as tx_count_{key}", f"{r(f'{c}.s')} as sd_tx_amount_{key}"]
+    return f"""with {', '.join(steps)} select transaction_id, {r('cast(c.gap as double)')} as time_since_last_tx,
+        {', '.join(columns)} from customer_counted c join terminal_counted t using (transaction_id)"""
+
+
 def per_column(measures: dict[str, dict[str, str]], source: str, with_clause: str) -> str:
     names = COLUMNS.split(", ")
     rows = []
@@ -455,6 +477,9 @@ ORACLE: dict[str, str] = {
     "stream_hot_terminal": state(
         ("terminal",), ", case when transaction_id % 3 = 0 then 0 else terminal_id end as terminal_id"
     ),
+    "expiring_features": expiring(),
+    "expiring_features_hot": expiring(),
+    "stream_expiring_state": expiring(),
     "stream_repeats": f"""select *, cast(case when transaction_id % 7 = 0 then 1 else 0 end as bigint) as repeats
         from ({state(("customer", "terminal"))})""",
     "stream_from_history": f"""select * from ({state(("customer", "terminal"))}) where transaction_id in

@@ -23,6 +23,19 @@ def read_raw(spark: SparkSession, paths: str | list[str], glob: str = "*.txt") -
     return raw.select("*", day_of_path(F.col("_metadata.file_path")).alias("file_day"))
 
 
+def read_marked(spark: SparkSession, paths: str | list[str], glob: str = "*.txt") -> DataFrame:
+    """The rows of ``read_raw`` and the comment lines, told apart by ``is_comment``, from one scan of the lines.
+
+    A comment has no fields. Blank lines are left out, as the parser of ``read_raw`` leaves them out.
+    """
+    lines = _files(spark.read, glob).text(paths).filter(F.trim("value") != "")
+    is_comment = F.startswith("value", F.lit("#"))
+    fields = F.from_csv(F.when(~is_comment, F.col("value")), RAW_SCHEMA.simpleString()[7:-1].replace(":", " "), {"sep": ","})
+    day = day_of_path(F.col("_metadata.file_path"))
+    marked = lines.select(fields.alias("_fields"), day.alias("file_day"), is_comment.alias("is_comment"))
+    return marked.select("_fields.*", "file_day", "is_comment")
+
+
 def read_typed(spark: SparkSession, paths: str | list[str], glob: str = "*.txt") -> DataFrame:
     """The same files read with declared types: a cell that does not parse becomes NULL.
 
