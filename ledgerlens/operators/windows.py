@@ -190,11 +190,39 @@ def trailing_features(
 
     ``frequency`` adds transactions per day of the span. Amounts must be finite or NULL, as cleaning
     leaves them. The cost per row does not depend on how many transactions a span holds.
+
+    One window serves all keys. A key's sum is its running total up to t minus that up to ``t - span``: both frames only
+    grow, so Spark adds each row once to each; it would recompute a sliding frame for every row. Rows of hot keys enter
+    and leave a running total inside time slices, on top of the totals of the earlier slices. ``source`` is the frame
+    ``df`` was derived from, with the same transactions.
     """
-    ordinary, hot = split_hot(df, keys, policy, source)
-    both = _trailing_of_ordinary(ordinary, keys, suffix, spans).unionByName(
-        _trailing_of_hot(hot, keys, suffix, spans, policy)
+    source = df if source is None else source
+    names = [f"`{c}`" for c in df.columns]
+    moves = _moves(flag_hot(df, keys, policy, source), keys, spans, policy)
+    carry = _moved_before(split_hot(source, keys, policy)[1].selectExpr("*", "true as _is_hot"), keys, spans, policy)
+
+    part = f"over (partition by {quoted(keys)}, _slice order by _at"
+    totals = [f"{e} {part}) as _{i}" for i, e in _MEASURED.items()]
+    for name, seconds in spans.items():
+        gone = f"range between unbounded preceding and {seconds * 1_000_000}L preceding"
+        totals += [f"{e} {part} {gone}) as _gone_{name}_{i}" for i, e in _MEASURED.items()]
+        totals += [f"sum(_{name}_{i}) {part}) as _upto_{name}_{i}" for i in _MEASURED]
+    whole = f"{part} rows between unbounded preceding and unbounded following)"
+    running = moves.selectExpr("*", f"avg(tx_amount) {whole} as _mean").selectExpr(
+        *names, "_is_hot", "_enters", "_slice", "_mean", *totals
     )
+    # Hot keys only: their slices meet the totals of the earlier ones.
+    joined = running.filter("_enters").join(carry, same_slice(keys), "left")
+
+    columns = []
+    for name, seconds in spans.items():
+        x, m, n = (f"(_{i} - coalesce(_gone_{name}_{i}, 0))" for i in _MEASURED)
+        hot_x, hot_m, hot_n = (f"(_upto_{name}_{i} + coalesce(_before_{name}_{i}, 0))" for i in _MEASURED)
+        columns += [
+            f"if(_is_hot, if({hot_m} > 0, {hot_x}, null), if({m} > 0, {x} + _mean * {m}, null)) as sum_{name}_{suffix}",
+            f"if(_is_hot, {hot_n}, {n}) as count_{name}_{suffix}",
+        ]
+    both = joined.selectExpr(*names, *columns)
     if not frequency:
         return both
     return both.selectExpr(
@@ -202,75 +230,46 @@ def trailing_features(
     )
 
 
-def _trailing_of_ordinary(df: DataFrame, keys: list[str], suffix: str, spans: Mapping[str, int]) -> DataFrame:
-    """Running total up to t minus running total up to ``t - span``.
-
-    Both frames only grow, so Spark adds each row once to each; it would recompute a sliding frame for
-    every row. The totals are of distances from the key's mean, which stay small. One sort serves all.
-    """
-    part = f"over (partition by {quoted(keys)} order by _at"
-    measured = {"x": "sum(tx_amount - _mean)", "m": "count(tx_amount)", "n": "count(transaction_id)"}
-    totals = [f"{e} {part}) as _{i}" for i, e in measured.items()]
-    columns = []
-    for name, seconds in spans.items():
-        gone = f"range between unbounded preceding and {seconds * 1_000_000}L preceding"
-        totals += [f"{e} {part} {gone}) as _gone_{name}_{i}" for i, e in measured.items()]
-        x, m, n = (f"(_{i} - coalesce(_gone_{name}_{i}, 0))" for i in measured)
-        columns += [f"if({m} > 0, {x} + _mean * {m}, null) as sum_{name}_{suffix}", f"{n} as count_{name}_{suffix}"]
-    kept = [f"`{c}`" for c in df.columns]
-    return (
-        df.selectExpr("*", "unix_micros(tx_datetime) as _at")
-        .selectExpr("*", f"avg(tx_amount) {part} rows between unbounded preceding and unbounded following) as _mean")
-        .selectExpr(*kept, "_mean", *totals)
-        .selectExpr(*kept, *columns)
-    )
+#: What is summed up: distances from the key's mean, which stay small, and the numbers of amounts and of rows.
+_MEASURED = {"x": "sum(tx_amount - _mean)", "m": "count(tx_amount)", "n": "count(transaction_id)"}
+_MOVED = {
+    "x": "coalesce(tx_amount, 0D)",
+    "m": "cast(tx_amount is not null as bigint)",
+    "n": "cast(transaction_id is not null as bigint)",
+}
 
 
-def _trailing_of_hot(
-    hot: DataFrame, keys: list[str], suffix: str, spans: Mapping[str, int], policy: HotKeys
-) -> DataFrame:
-    """Each transaction enters at its time and leaves a span later; the running total is the trailing one.
+def _moves(rows: DataFrame, keys: list[str], spans: Mapping[str, int], policy: HotKeys) -> DataFrame:
+    """Each row once as it enters; those of hot keys once more for each span, at the time at which they leave it.
 
-    It runs inside time slices, on top of the totals of the earlier slices.
+    Only what enters is a row of the result; what leaves carries no other columns.
     """
     # 0 for entering, else the seconds after which the transaction leaves.
     after = ", ".join(f"{seconds}L" for seconds in [0, *sorted(set(spans.values()))])
-    measured = {
-        "x": "coalesce(tx_amount, 0D)",
-        "m": "cast(tx_amount is not null as bigint)",
-        "n": "cast(transaction_id is not null as bigint)",
-    }
-    moves = [
+    moved = [
         f"{e} * case _after when 0 then 1 when {seconds} then -1 else 0 end as _{name}_{i}"
         for name, seconds in spans.items()
-        for i, e in measured.items()
+        for i, e in _MOVED.items()
     ]
-    # Only what enters is a row of the result; what leaves carries no other columns.
-    kept = [f"`{c}`" if c in keys else f"if(_after = 0, `{c}`, null) as `{c}`" for c in hot.columns]
-    events = (
-        hot.selectExpr("*", f"explode(array({after})) as _after")
-        .selectExpr(*kept, "unix_micros(tx_datetime) + _after * 1000000L as _at", "_after = 0 as _enters", *moves)
-        .selectExpr("*", f"{time_slice('_at', policy)} as _slice")
+    kept = [f"`{c}`" if c in [*keys, "_is_hot"] else f"if(_after = 0, `{c}`, null) as `{c}`" for c in rows.columns]
+    return (
+        rows.selectExpr("*", f"explode(if(_is_hot, array({after}), array(0L))) as _after")
+        .selectExpr(*kept, "unix_micros(tx_datetime) + _after * 1000000L as _at", "_after = 0 as _enters", *moved)
+        .selectExpr("*", f"if(_is_hot, {time_slice('_at', policy)}, null) as _slice")
     )
 
-    moved = [f"_{name}_{i}" for name in spans for i in measured]
+
+def _moved_before(hot: DataFrame, keys: list[str], spans: Mapping[str, int], policy: HotKeys) -> DataFrame:
+    """For each slice of a hot key, what the slices before it have moved."""
+    names = [f"{name}_{i}" for name in spans for i in _MOVED]
     before = f"over (partition by {quoted(keys)} order by _slice rows between unbounded preceding and 1 preceding)"
-    carry = (
-        events.groupBy(*keys, "_slice")
-        .agg(*[F.expr(f"sum({c}) as {c}") for c in moved])
+    return (
+        _moves(hot, keys, spans, policy)
+        .groupBy(*keys, "_slice")
+        .agg(*[F.expr(f"sum(_{c}) as _{c}") for c in names])
         .selectExpr(
             *[f"`{k}` as `_c_{k}`" for k in keys],
             "_slice as _c_slice",
-            *[f"sum({c}) {before} as {c}_before" for c in moved],
+            *[f"sum(_{c}) {before} as _before_{c}" for c in names],
         )
     )
-    upto = f"over (partition by {quoted(keys)}, _slice order by _at)"
-    rows = [f"`{c}`" for c in hot.columns]
-    running = events.selectExpr(*rows, "_slice", "_enters", *[f"sum({c}) {upto} as {c}" for c in moved])
-    joined = running.filter("_enters").join(carry, same_slice(keys), "left")
-
-    columns = []
-    for name in spans:
-        x, m, n = (f"(_{name}_{i} + coalesce(_{name}_{i}_before, 0))" for i in measured)
-        columns += [f"if({m} > 0, {x}, null) as sum_{name}_{suffix}", f"{n} as count_{name}_{suffix}"]
-    return joined.selectExpr(*rows, *columns)

@@ -243,14 +243,23 @@ def rolling_terminal_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def recent_span_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _span_counts(spark: SparkSession, sf_dir: str, policy: HotKeys) -> DataFrame:
     tx, spans = transactions(spark, sf_dir), {"7d": windows.WEEK, "30d": windows.MONTH}
-    both = windows.trailing_features(tx, ["customer_id"], "customer", spans, frequency=True)
-    both = windows.trailing_features(both, ["terminal_id"], "terminal", spans, frequency=True, source=tx)
+    options = {"frequency": True, "policy": policy}
+    both = windows.trailing_features(tx, ["customer_id"], "customer", spans, **options)
+    both = windows.trailing_features(both, ["terminal_id"], "terminal", spans, source=tx, **options)
     kept = [c for c in both.columns if c.startswith(("count_", "per_day_"))]
     return presentable(both.select("transaction_id", *kept))
 
 
+def recent_span_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_counts(spark, sf_dir, DEFAULT)
+
+
+def recent_span_counts_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_counts(spark, sf_dir, TINY)
+
+
 def prior_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir)
     both = windows.running_features(tx, ["customer_id"], "customer", prior_fraud=True)
@@ -674,6 +683,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rolling_24h,
         rolling_terminal_hot,
         recent_span_counts,
+        recent_span_counts_hot,
         prior_fraud,
         pair_features,
         tied_times,

@@ -281,6 +281,10 @@ def per_column(measures: dict[str, dict[str, str]], source: str, with_clause: st
 
 DAY_SECONDS = 86400
 
+SPAN_COUNTS = f"""with {TX} select transaction_id, {', '.join(
+        trailing(f'{s}_id', s, {'7d': 7 * DAY_SECONDS, '30d': 30 * DAY_SECONDS}, ('count', 'per_day'))
+        for s in ('customer', 'terminal'))} from tx"""
+
 ORACLE: dict[str, str] = {
     "clean_transactions": f"with {CLEAN} select {shown()}, tx_date from clean",
     "clean_by_file_day": f"""with {CLEAN} select tx_date, count(*) as kept_rows,
@@ -356,9 +360,8 @@ ORACLE: dict[str, str] = {
     "rolling_24h": f"with {TX} select transaction_id, {trailing('customer_id', 'customer', {'24h': DAY_SECONDS})} from tx",
     "rolling_terminal_hot": f"""with {TX} select transaction_id, {trailing(
         'terminal_id', 'terminal', {'1h': 3600, '24h': DAY_SECONDS, '7d': 7 * DAY_SECONDS})} from tx""",
-    "recent_span_counts": f"""with {TX} select transaction_id, {', '.join(
-        trailing(f'{s}_id', s, {'7d': 7 * DAY_SECONDS, '30d': 30 * DAY_SECONDS}, ('count', 'per_day'))
-        for s in ('customer', 'terminal'))} from tx""",
+    "recent_span_counts": SPAN_COUNTS,
+    "recent_span_counts_hot": SPAN_COUNTS,
     "prior_fraud": f"""with {TX} select transaction_id,
         cast(coalesce(sum(tx_fraud) over (partition by customer_id order by tx_datetime, transaction_id
              rows between unbounded preceding and 1 preceding), 0) as bigint) as prior_fraud_customer,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.adapters import raw_files
 from ledgerlens.functions.hashing import digest
-from ledgerlens.operators import expiry, quality, sampling
+from ledgerlens.operators import expiry, quality, sampling, windows
 from ledgerlens.operators.skew import HotKeys
 from ledgerlens.plans.cleaning import clean_daily_text
 from ledgerlens.sources.text import read_lines, read_marked, read_raw
@@ -82,6 +82,24 @@ def test_undersample_of_nothing(spark):
     assert sampling.undersample(classed(spark, 0)).count() == 0
 
 
+# trailing spans
+
+
+def test_windows_grow_linearly_with_chained_calls(spark):
+    mixed = [(i, 20 * i, 1 if i % 2 else i, i % 5, 1.0, 0) for i in range(30)]
+    tx = tx_frame(spark, *mixed)
+    steps, sizes = tx, []
+    for number in range(3):
+        key = ("customer_id", "terminal_id", "tx_fraud")[number]
+        steps = windows.trailing_features(steps, [key], f"s{number}", {"a": 100}, policy=HOT, source=tx)
+        sizes.append(steps._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+    assert sizes[2] - sizes[1] <= sizes[1] - sizes[0] + 3
+    rows = {r["transaction_id"]: (r["count_a_s0"], r["count_a_s1"], r["count_a_s2"]) for r in steps.collect()}
+    for i, at, customer, terminal, *_ in mixed:
+        seen = [o for o in mixed if at - 100 < o[1] <= at]
+        assert rows[i] == (sum(o[2] == customer for o in seen), sum(o[3] == terminal for o in seen), len(seen))
+
+
 # one scan
 
 
