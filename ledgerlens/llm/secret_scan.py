@@ -73,6 +73,8 @@ BASE_KINDS = ("assign", "access", "hex")
 HEX_LENGTH = 24
 
 _COMPILED = {kind: re.compile(rule[1]) for kind, rule in RULES.items() if rule[1]}
+#: Where a kind's expression failed, no later hit of these characters can match: they are not tried again.
+_FAILED = {"webtoken": re.compile(rb"eyJ[A-Za-z0-9_-]*")}
 _HEX = np.zeros(256, dtype=bool)
 _HEX[list(b"0123456789abcdef")] = True
 _HEX_RUN = re.compile(rb"[0-9a-f]{%d}" % HEX_LENGTH)
@@ -113,10 +115,14 @@ def find_secrets(data: bytes) -> list[tuple[int, int, str]]:
     done = dict.fromkeys(RULES, 0)
     hits = [(end - length + 1, kind) for end, (length, kind) in _AUTOMATON.iter(data.lower().decode("latin-1"))]
     for start, kind in sorted(hits):
-        if start >= done[kind] and (m := _COMPILED[kind].match(data, start)):
+        if start < done[kind]:
+            continue
+        if m := _COMPILED[kind].match(data, start):
             done[kind] = m.end()
             if RULES[kind][2](m):
                 found.append((start, m.end(), kind))
+        elif kind in _FAILED and (run := _FAILED[kind].match(data, start)):
+            done[kind] = run.end()
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 

@@ -1,5 +1,7 @@
+import base64
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -71,6 +73,18 @@ def test_decontamination_in_blocks_and_offsets(spark):
     assert {r["n_hit"] for r in decontaminate(docs, items.where("false")).collect()} == {0}
 
 
+def test_hostile_text_is_scanned_in_linear_time():
+    """A megabyte of failing web tokens; hits in other letters do not hide a real one after them."""
+    started = time.monotonic()
+    assert find_secrets(b"eyJ" * 350_000) == []
+    assert find_secrets(b"eyJa." * 200_000 + b"!") == []
+    assert time.monotonic() - started < 3
+    head = base64.urlsafe_b64encode(b'{"alg":"none"}').rstrip(b"=")
+    token = head + b".e30.sig"
+    assert find_secrets(b"xeyjeyj" + token) == [(7, 7 + len(token), "webtoken")]
+    assert find_secrets(b"eyJbroken eyJ. " + token) == [(15, 15 + len(token), "webtoken")]
+
+
 # secrets ------------------------------------------------------------------------------------------------------
 
 BASE = {
