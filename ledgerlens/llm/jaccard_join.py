@@ -205,17 +205,27 @@ class _Join:
         links = self._verified(self._star_pairs(postings), classes)
         first = components(links, "a", "b")
         rest = self._verified(self._cross_pairs(postings, first), classes)
-        every = links.select("a", "b").union(rest.select("a", "b"))
-        joined = classes.drop("histogram").join(
-            components(every, "a", "b").withColumnRenamed("node", "rep"), "rep", "left"
-        )
+        every = links.select("a", "b").union(rest.select("a", "b")).union(self._shared_ids(docs, classes))
+        found = components(every, "a", "b")
+        joined = classes.drop("histogram").join(found.withColumnRenamed("node", "rep"), "rep", "left")
         joined = joined.select("n", "sig1", "sig2", F.coalesce("component", "rep").alias("component_id"))
-        return docs.drop("histogram").join(joined, ["n", "sig1", "sig2"], "left").select(
+        rows = docs.select("doc_id", "n", "sig1", "sig2")
+        of_texts = rows.where("n > 0").join(joined, ["n", "sig1", "sig2"], "left")
+        # Rows without words have the links of other rows of their id only.
+        of_ids = rows.where("n = 0").join(found.selectExpr("node as doc_id", "component as component_id"), "doc_id", "left")
+        return of_texts.unionByName(of_ids).select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
         )
 
+    def _shared_ids(self, docs: DataFrame, classes: DataFrame) -> DataFrame:
+        """Links between an id and the classes of its texts, for ids with several; one narrow shuffle by id."""
+        text = F.struct("n", "sig1", "sig2")
+        several = docs.groupBy("doc_id").agg(F.min(text).alias("lo"), F.max(text).alias("hi")).where("lo <> hi")
+        theirs = docs.select("doc_id", "n", "sig1", "sig2").join(several.select("doc_id"), "doc_id").distinct()
+        return theirs.join(classes.drop("histogram"), ["n", "sig1", "sig2"]).selectExpr("doc_id as a", "rep as b")
+
     def _representatives(self, ids: DataFrame) -> DataFrame:
         """Texts of the given (doc_id, sig1); the ids are the hashed side, texts stream past unsorted."""
         return self.texts.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", "sig1", "text")
@@ -318,7 +328,7 @@ def jaccard_components(
 
     A set holds the distinct runs of ``k`` lower-cased (A-Z) words; fewer words are one run; no words (null,
     empty or blank text) give an empty set, linked with nothing and its own component. Rows that share an id
-    share its links. A null id gets a null component. Other columns are ignored, whatever their names. An
+    share its links, also with different texts. A null id gets a null component. Other columns are ignored, whatever their names. An
     empty table gives an empty result. Sets are compared by 64-bit hashes of their runs.
     """
     if not 0 < percent <= 100 or not 0 < k < 15:

@@ -55,6 +55,35 @@ def test_equals_brute_force(spark, hot):
     assert result(df, hot_postings=hot) == brute([r[:2] for r in rows])
 
 
+def brute_rows(rows):
+    """Components of ids by rows: ids are linked if any of their texts are."""
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = [(i, shingles(t or "")) for i, t in rows]
+    for n, (a, s) in enumerate(sets):
+        for b, t in sets[n + 1 :]:
+            if len(s & t) and 100 * len(s & t) >= 75 * len(s | t):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return sorted((i, len(s), root(i)) for i, s in sets)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_rows_that_share_an_id_share_its_links(spark, seed):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(7, a), (7, b), (3, a), (9, b), (5, c), (5, None), (4, ""), (6, c), (8, d), (8, a + " z"), (1, None), (1, "")]
+    rng = random.Random(seed)
+    rows += [(rng.randrange(20, 60), r[1]) for r in copies(seed, groups=4)]
+    rng.shuffle(rows)
+    found = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), hot_postings=3 if seed else 50_000)
+    assert sorted(tuple(r[c] for c in ("doc_id", "n_shingles", "component_id")) for r in found.collect()) == brute_rows(rows)
+
+
 def test_tables_equal_brute_force(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert result(df) == brute([(r["doc_id"], r["text"]) for r in df.collect()])
