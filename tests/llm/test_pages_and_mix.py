@@ -13,6 +13,37 @@ from ledgerlens.llm.zip_warc import ZipDirectory, read_packages, read_records, r
 from ledgerlens.session import scratch_path
 
 PAGE = "page_id long, url string, html string"
+
+
+def article_of(source):
+    return [text for text, zone in page_blocks(source) if zone >= 2]
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        '<div class="layout with-sidebar"><article><p>x</p></article></div>',
+        '<div id="page" class="no-comments"><main>x</main></div>',
+        '<form id="aspnetForm"><input><article>x</article><button>go</button></form>',
+        '<form><nav><article>menu</article></nav><main>x</main></form>',
+        '<section class="related-posts"><article class="card">r</article></section><article>x</article>',
+        '<article>x<div class="comment-list"><p>c</p></div><div class="share-buttons">s</div><div id=cookieBanner>c</div></article>',
+        '<article>x<form><p>f</p></form></article>',
+    ],
+)
+def test_names_and_forms_around_an_article(source):
+    assert article_of(source) == ["x"]
+
+
+def test_parts_of_an_article_stay():
+    source = '<article><div class="entry-header"><h2>H</h2></div><p class="share-price">p</p><p title="a>q</p></article>'
+    assert article_of(source) == ["H", "p", "q"]
+
+
+def test_pages_with_extra_columns(spark):
+    page = (1, "http://a/1", "<article>x</article>", "t", "o", 3)
+    df = spark.createDataFrame([page, page], PAGE + ", text string, open string, row_key int")
+    assert [tuple(r) for r in extract_text(df).collect()] == [(1, "http://a/1", "x")] * 2
 MENU = "<div><span>home news sports weather travel food money cars jobs about us contact</span></div>"
 
 
