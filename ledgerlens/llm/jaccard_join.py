@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
+from .rows import bound_batches
 from .textkernel import documents_words, mix, short_window, utf8, windows
 
 RANK_BITS = 20
@@ -333,6 +334,7 @@ def jaccard_components(
     """
     if not 0 < percent <= 100 or not 0 < k < 15:
         raise ValueError("percent must be in 1..100 and k in 1..14")
+    bound_batches(documents.sparkSession)  # a worker holds the hashes of a batch beside its texts
     texts = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
