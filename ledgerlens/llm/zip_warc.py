@@ -30,8 +30,10 @@ from ..session import materialize, scratch_path
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Payload bytes after which a task starts another package.
+#: Payload and index bytes after which a task starts another package.
 PACKAGE_BYTES = 32 << 20
+#: Groups of equal payloads that may be broadcast (some 100 bytes each); more are joined by shuffle.
+BROADCAST_GROUPS = 50_000
 #: Records are range-read together while they follow each other, up to so many bytes.
 READ_AHEAD = 4 << 20
 
@@ -83,9 +85,10 @@ class _Package:
         record = gzip.compress(warc_record(page_id, url, payload, digest, refers_to, date), 5, mtime=0)
         self._data.write(record)
         place = {"offset": self._offset, "length": len(record), "digest": digest, "url": url}
-        self._index.append(f"{_urn(page_id)} {json.dumps(place)}\n")
+        line = f"{_urn(page_id)} {json.dumps(place)}\n"
+        self._index.append(line)
         self._offset += len(record)
-        self.size += len(payload)
+        self.size += len(payload) + len(line)
 
     def close(self) -> tuple[str, int]:
         self._data.close()
@@ -121,9 +124,16 @@ def _manifest(rows) -> pa.RecordBatch:
     )
 
 
+def _told_by_page(keyed: DataFrame, kept: DataFrame) -> DataFrame:
+    """``response`` beside each page. Digests meet without the html, which is dealt by page and payload only."""
+    theirs = keyed.select("page_id", "payload").join(kept, "payload").distinct()
+    same = F.col("p.payload").eqNullSafe(F.col("t.payload")) & F.col("p.page_id").eqNullSafe(F.col("t.page_id"))
+    return keyed.alias("p").join(theirs.alias("t"), same, "left").select("p.*", "t.response")
+
+
 def write_packages(
     pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z",
-    package_bytes: int = PACKAGE_BYTES,
+    package_bytes: int = PACKAGE_BYTES, broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) and returns the written manifest ``(package, records)``.
 
@@ -136,14 +146,20 @@ def write_packages(
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
-    keyed = rows.withColumn("payload", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html"))
-    kept = (
-        keyed.groupBy("payload", "bytes")
+    keyed = rows.withColumn("payload", F.sha2("html", 256))
+    kept = materialize(
+        keyed.where(F.octet_length("html") >= min_bytes)
+        .groupBy("payload")
         .agg(F.max("page_id").alias("response"), F.count(F.lit(1)).alias("copies"))
-        .where((F.col("copies") > 1) & (F.col("bytes") >= min_bytes))
-        .select("payload", "response")
+        .where("copies > 1 and response is not null")
+        .select("payload", "response"),
+        "equal-payloads",
     )
-    told = keyed.join(kept.hint("shuffle_hash"), "payload", "left")
+    if kept.count() <= broadcast_groups:
+        # The pages stay where they lie.
+        told = keyed.join(F.broadcast(kept), "payload", "left")
+    else:
+        told = _told_by_page(keyed, kept)
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("response")), F.col("response"))
     return materialize(
         told.select("page_id", "url", "html", refers.alias("refers_to")).mapInArrow(

@@ -118,6 +118,27 @@ def test_round_trip(spark):
     assert round_trip(pages.where("false")).count() == 0
 
 
+def test_groups_too_many_to_broadcast(spark):
+    rows = [(i, "u", ["", None, "same", f"own {i}"][i % 4]) for i in range(40)]
+    rows += [(None, "n", "same"), (None, "n", ""), (39, "again", "own 39"), (7, "other", "same")]
+    pages = spark.createDataFrame(rows, PAGE)
+    found = [
+        sorted(
+            (str(r["page_id"]), r["payload_bytes"], str(r["refers_to"]))
+            for r in read_packages(write_packages(pages, scratch_path(spark, "warc"), broadcast_groups=n)).collect()
+        )
+        for n in (50_000, 0)
+    ]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    assert sum(r[2] == "38" for r in found[0]) == 11 and ("None", 0, "37") in found[0]
+
+
+def test_empty_pages_close_packages(spark):
+    pages = spark.range(500).selectExpr("id as page_id", "cast(null as string) as url", "'' as html").coalesce(1)
+    manifest = write_packages(pages, scratch_path(spark, "warc"), package_bytes=10_000)
+    assert manifest.count() > 4 and read_packages(manifest).where("refers_to = 499").count() == 499
+
+
 class Source(io.BytesIO):
     def size(self):
         return len(self.getvalue())
