@@ -15,7 +15,7 @@ WORD, WORD_PAIR, CHARS, PREFIX = (np.uint64(x) for x in (11, 23, 1000, 2000))
 
 
 def pieces(text: bytes):
-    """A text in pieces of bounded size that don't split words."""
+    """A text in pieces of bounded size; only words of over a million bytes are split, and count as several."""
     start = 0
     while start < len(text):
         end = _cut(text, start, IN_WORD)

@@ -62,8 +62,12 @@ class Hashes:
         self._sum = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUE[self.codes] * up[: len(data)], out=self._sum[1:])
 
+    def sums(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """What a hash is mixed from: the polynomial of the slice's bytes, which can be continued."""
+        return (self._sum[ends] - self._sum[starts]) * self._down[starts]
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sum[ends] - self._sum[starts]) * self._down[starts])
+        return mix(self.sums(starts, ends))
 
 
 def spans(codes: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,21 +79,40 @@ def spans(codes: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _cut(data: bytes, start: int, inside: np.ndarray) -> int:
-    """The end of a piece of about ``CHUNK_BYTES`` that does not split a word."""
-    end = min(len(data), start + CHUNK_BYTES)
-    while end < len(data) and inside[data[end]]:
-        end += 1
+    """The end of a piece of ``CHUNK_BYTES`` and what its last word needs, less than as much again.
+
+    A word that needs more is split before a code point.
+    """
+    end = start + CHUNK_BYTES
+    if end >= len(data):
+        return len(data)
+    ahead = np.frombuffer(data, dtype=np.uint8, count=min(len(data) - end, CHUNK_BYTES - 1), offset=end)
+    outside = np.flatnonzero(~inside[ahead])
+    if len(outside):
+        return end + int(outside[0])
+    end += len(ahead)
+    if end < len(data):
+        for back in range(4):
+            if data[end - back] & 0xC0 != 0x80:
+                return end - back
     return end
 
 
 def word_hashes(data: bytes, inside: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of every word; long texts are worked off in pieces of bounded size."""
+    """Hash, start and end of every word; long texts and words are worked off in pieces of bounded size."""
     found, start = [], 0
+    begun = None  # a word that goes on in the next piece: its sum so far and its start
     while start < len(data):
         end = _cut(data, start, inside)
         piece = Hashes(data[start:end])
         s, e = spans(piece.codes, inside)
-        found.append((piece.of(s, e), s + start, e + start))
+        total, s, e = piece.sums(s, e), s + start, e + start
+        if begun:
+            total[0] = (begun[0] + int(total[0]) * pow(_BASE, start - begun[1], _MASK + 1)) & _MASK
+            s[0] = begun[1]
+        begun = (int(total[-1]), int(s[-1])) if len(s) and e[-1] == end < len(data) and inside[data[end]] else None
+        whole = len(s) - 1 if begun else len(s)
+        found.append((mix(total[:whole]), s[:whole], e[:whole]))
         start = end
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
