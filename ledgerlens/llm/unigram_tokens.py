@@ -128,9 +128,11 @@ def count_tokens(
 ) -> DataFrame:
     """Every row with its columns in ``row`` and ``n_tokens`` beside it; null and empty texts have none.
 
-    ``vocabulary`` is a public tokenizer's list of pieces and scores (tens of thousands; broadcast). Repeated
-    rows are counted each, an empty table gives an empty result.
+    ``vocabulary`` is a public tokenizer's list of pieces and scores (tens of thousands; broadcast); an
+    empty one is refused. Repeated rows are counted each, an empty table gives an empty result.
     """
+    if not vocabulary:
+        raise ValueError("the vocabulary has no pieces")
     spark = documents.sparkSession
     pieces = spark.sparkContext.broadcast(vocabulary)
     df = rows_and_text(documents, text_col, carry)

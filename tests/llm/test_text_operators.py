@@ -168,6 +168,11 @@ def test_token_ties_and_unknown():
         assert counter.count(text) == (len(exact.encode(text).ids) if text else 0), text
 
 
+def test_an_empty_vocabulary_is_refused(spark):
+    with pytest.raises(ValueError, match="no pieces"):
+        count_tokens(awkward(spark), [])
+
+
 def test_token_counts_of_awkward_rows(spark):
     rows = count_tokens(awkward(spark), [("▁", -1.0), ("o", -1.0)]).collect()
     assert sorted(r["n_tokens"] for r in rows if r["row"]["doc_id"] in (1, 2)) == [0, 0] and len(rows) == 9
