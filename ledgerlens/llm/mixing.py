@@ -90,15 +90,26 @@ def mix(
     before the first document that does not fit. An empty table gives an empty result.
     """
     named = lambda c: F.coalesce(c.cast("string"), F.lit("unknown"))
+    own = F.struct(*[F.col(f"`{c}`").alias(c) for c in documents.columns])
     df = documents.select(
-        F.struct(*[F.col(f"`{c}`").alias(c) for c in documents.columns]).alias("row"),
+        own.alias("row"),
         named(domain).alias("domain"),
         named(F.col(f"`{lang_col}`")).alias("language"),
         named(F.col(f"`{source_col}`")).alias("origin"),
-        (word_tokens(F.col(f"`{text_col}`")) if tokens is None else tokens.cast("long")).alias("n_tokens"),
         F.col(f"`{id_col}`").alias("key"),
-    ).where("n_tokens > 0")
-    totals = df.groupBy(*LEAF).agg(F.sum("n_tokens").alias("supply"), F.count(F.lit(1)).alias("docs"))
+        (F.lit(None) if tokens is None else tokens).cast("long").alias("given"),
+    )
+
+    def counted(rows: DataFrame) -> DataFrame:
+        """Rows with tokens, and how many; the filter, which Spark moves ahead of joins, ends at the first word."""
+        if tokens is not None:
+            return rows.withColumn("n_tokens", F.col("given")).where("n_tokens > 0")
+        text = F.col(f"row.`{text_col}`").cast("string")
+        return rows.where(F.regexp_like(text, F.lit(WORD))).withColumn("n_tokens", word_tokens(text))
+
+    # The budgets and cuts are found on this narrow table; then only texts that are taken are counted again.
+    narrow = materialize(counted(df).select(*LEAF, "key", "n_tokens"), "counted")
+    totals = narrow.groupBy(*LEAF).agg(F.sum("n_tokens").alias("supply"), F.count(F.lit(1)).alias("docs"))
     leaves = materialize(
         leaf_budgets(
             materialize(totals, "leaves"), budget, domain_weights, language_weights, source_weights, max_epochs, default_weight
@@ -116,9 +127,12 @@ def mix(
     if leaves.count() <= BROADCAST_LEAVES:
         leaves = F.broadcast(leaves)
     order = F.conv(F.substring(digest(F.lit(str(seed)), F.col("epochs"), F.coalesce(F.col("key").cast("string"), F.lit("null"))), 1, 8), 16, 10)
-    placed = df.join(leaves, list(LEAF)).withColumn("draw", order.cast("long"))
-    placed = placed.withColumn("bucket", F.expr("shiftright(draw, 32 - bits)"))
-    sums = placed.groupBy(*LEAF, "bucket").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        drawn = rows.join(leaves, list(LEAF)).withColumn("draw", order.cast("long"))
+        return drawn.withColumn("bucket", F.expr("shiftright(draw, 32 - bits)"))
+
+    sums = placed(narrow).groupBy(*LEAF, "bucket").agg(F.sum("n_tokens").alias("tokens"), F.first("rest").alias("rest"))
     upto = F.sum("tokens").over(Window.partitionBy(*LEAF).orderBy("bucket"))
     ends = sums.withColumn("upto", upto)
     # The bucket in which the rest runs out, and what is left for it.
@@ -127,14 +141,15 @@ def mix(
     )
     cut = materialize(cut, "cuts")
     cut = F.broadcast(cut) if cut.count() <= BROADCAST_LEAVES else cut
-    judged = placed.join(cut, list(LEAF), "left")
+    judged = placed(df).join(cut, list(LEAF), "left")
     inside = judged.where("cut is null or bucket <> cut").withColumn(
         "copies", F.col("epochs") + F.when(F.col("cut").isNull() | (F.col("bucket") < F.col("cut")), 1).otherwise(0)
     )
     inside = inside.withColumn("copies", F.when(F.col("rest") == 0, F.col("epochs")).otherwise(F.col("copies")))
+    inside = counted(inside.where("copies > 0"))
     line = Window.partitionBy(*LEAF).orderBy("draw", "key", F.md5(F.col(f"row.`{text_col}`").cast("string")))
     fits = F.sum("n_tokens").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) <= F.col("left")
-    edge = judged.where("bucket = cut").withColumn("copies", F.col("epochs") + fits.cast("int"))
+    edge = counted(judged.where("bucket = cut")).withColumn("copies", F.col("epochs") + fits.cast("int"))
     chosen = inside.unionByName(edge).where("copies > 0")
     return chosen.select(
         "row", *LEAF, "n_tokens", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))).alias("epoch")

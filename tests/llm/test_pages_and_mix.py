@@ -183,6 +183,13 @@ def test_shortage_goes_to_siblings_and_epochs_repeat(spark):
     assert len({(r["doc_id"], r["epoch"]) for r in got}) == len(got)
 
 
+def test_given_tokens_count_instead_of_words(spark):
+    rows = [(i, "w", "en", "s", str(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_words string")
+    got = mixed(df, max_epochs=1, tokens=F.col("n_words"))
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {i: i for i in range(1, 10)}
+
+
 def test_mixing_awkward(spark):
     got = mixed(awkward(spark), budget=1.0, max_epochs=1)
     assert sorted(str(r["doc_id"]) for r in got) == ["4", "5", "5", "6", "7", "None"]
