@@ -16,6 +16,8 @@ Plan, with S the distinct shingles of all texts:
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +33,8 @@ RANK_PARTS = 16
 HISTOGRAM = 32
 #: A shingle counted more often than this is dealt to several groups.
 HOT_POSTINGS = 50_000
+#: Of a shingle that meets several components, so many members meet the others in one group.
+MEETING = 5_000
 
 _PASS1 = (
     "doc_id long, n long, sig1 long, sig2 long, histogram array<int>, part int, counts binary"
@@ -119,9 +123,12 @@ def _add_counts(batches):
 def _shingle_counts(profile: DataFrame) -> np.ndarray:
     """The summed count table: 2^20 numbers however large the corpus."""
     parts = profile.where("part is not null").select("part", "counts")
-    summed = parts.mapInArrow(_add_counts, "part int, counts binary").repartition(RANK_PARTS, "part")
+    kinds = "part int, counts binary"
+    # Two steps, so that no task sums the tables of all others.
+    summed = parts.mapInArrow(_add_counts, kinds).withColumn("salt", F.spark_partition_id() % 64)
+    summed = summed.repartition(64, "part", "salt").drop("salt").mapInArrow(_add_counts, kinds).repartition(RANK_PARTS, "part")
     counts = np.zeros((RANK_PARTS, (1 << RANK_BITS) // RANK_PARTS), dtype=np.uint32)
-    for row in summed.mapInArrow(_add_counts, "part int, counts binary").collect():
+    for row in summed.mapInArrow(_add_counts, kinds).collect():
         counts[row["part"]] = np.frombuffer(row["counts"], dtype=np.uint32)
     return counts.reshape(-1)
 
@@ -176,8 +183,8 @@ def _sets(k: int):
 
 
 class _Join:
-    def __init__(self, texts: DataFrame, k: int, percent: int, hot: int):
-        self.texts, self.k, self.percent, self.hot = texts, k, percent, hot
+    def __init__(self, texts: DataFrame, k: int, percent: int, hot: int, meeting: int):
+        self.texts, self.k, self.percent, self.hot, self.meeting = texts, k, percent, hot, meeting
 
     # filters ---------------------------------------------------------------------------------------------
     def _needed(self, na: Column, nb: Column) -> Column:
@@ -281,19 +288,31 @@ class _Join:
             F.lit(100 + self.percent) * (n - pos) >= self._needed(n, partner)
         )
         able = materialize(able.drop("least_n"), "open-postings")
-        mixed = able.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
-        open_ = able.join(mixed, "token")
+        mixed = able.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("members"))
+        mixed = mixed.where("lo < hi").select("token", F.expr(f"cast(members div {self.meeting} + 1 as int)").alias("salts"))
+        open_ = able.join(mixed, "token").withColumn("band", self._band(n))
         c = F.col
-        x, y = (
-            open_.select(*[c(name).alias(f"{name}{i}") for name in ("token", "rep", "n", "pos", "c")]) for i in (1, 2)
-        )
+        names = ("token", "rep", "n", "pos", "c", "band", "salt")
+        side = lambda df, i: df.select(*[c(name).alias(f"{name}{i}") for name in names])
+        # The smaller of a pair stands in its band once; the larger looks there and one band below, in every group.
+        small = side(open_.withColumn("salt", F.pmod(F.xxhash64("rep"), "salts").cast("int")), 1)
+        large = open_.withColumn("salt", F.explode(F.sequence(F.lit(0), c("salts") - 1)))
+        large = side(large.withColumn("band", F.explode(F.array(c("band"), c("band") - 1))), 2)
         meets = (
             (c("token1") == c("token2"))
-            & (c("c1") < c("c2"))
+            & (c("band1") == c("band2"))
+            & (c("salt1") == c("salt2"))
+            & ((c("n1") < c("n2")) | ((c("n1") == c("n2")) & (c("rep1") < c("rep2"))))
+            & (c("c1") != c("c2"))
             & self._long_enough(c("n1"), c("n2"))
             & self._place_allows(c("n1"), c("pos1"), c("n2"), c("pos2"))
         )
-        return self._pairs(x.join(y, meets), "rep1", "n1", "pos1", "rep2", "n2", "pos2")
+        return self._pairs(small.join(large, meets), "rep1", "n1", "pos1", "rep2", "n2", "pos2")
+
+    def _band(self, n: Column) -> Column:
+        """Sizes that the length filter lets meet are in one band or in neighbouring ones; 1e-6 covers rounding."""
+        width = max(math.log(100 / self.percent), 0.01) * (1 + 1e-6)
+        return F.floor(F.log(n.cast("double")) / F.lit(width)).cast("int")
 
     def _verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """Suffix filter, then the exact overlap, once per pair."""
@@ -323,7 +342,7 @@ class _Join:
 
 def jaccard_components(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75,
-    hot_postings: int = HOT_POSTINGS,
+    hot_postings: int = HOT_POSTINGS, meeting: int = MEETING,
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row; texts link when 100 * overlap >= percent * union.
 
@@ -338,4 +357,4 @@ def jaccard_components(
     texts = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    return _Join(texts, k, percent, hot_postings).run()
+    return _Join(texts, k, percent, hot_postings, meeting).run()

@@ -13,7 +13,7 @@ def shingles(text):
     return frozenset(zip(*[w[i:] for i in range(5)])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows):
+def brute(rows, percent=75):
     sets, parent = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
 
     def root(x):
@@ -25,7 +25,7 @@ def brute(rows):
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 parent[max(root(a), root(b))] = min(root(a), root(b))
     return {i: (len(sets[i]), root(i)) for i in ids}
 
@@ -55,6 +55,18 @@ def test_equals_brute_force(spark, hot):
     assert result(df, hot_postings=hot) == brute([r[:2] for r in rows])
 
 
+@pytest.mark.parametrize(("meeting", "percent"), [(5_000, 75), (4, 75), (4, 90), (4, 100)])
+def test_components_that_share_a_passage(spark, meeting, percent):
+    """One passage in groups of every size: its shingles meet many components, few of which link."""
+    rng, rows = random.Random(meeting), []
+    passage = [f"p{i}" for i in range(24)]
+    for i in range(90):
+        own = [f"o{i // 2}x{j}" for j in range(rng.choice([1, 2, 3, 5, 8, 40]))]
+        rows.append((i, " ".join(passage[rng.randrange(3) :] + own)))
+    found = result(spark.createDataFrame(rows, "doc_id long, text string"), meeting=meeting, percent=percent)
+    assert found == brute(rows, percent)
+
+
 def brute_rows(rows):
     """Components of ids by rows: ids are linked if any of their texts are."""
     parent = {i: i for i, _ in rows}
