@@ -35,6 +35,8 @@ HISTOGRAM = 32
 HOT_POSTINGS = 50_000
 #: Of a shingle that meets several components, so many members meet the others in one group.
 MEETING = 5_000
+#: Size of the table that tells most texts that are not verified before they are shuffled: 2 MB.
+SIEVE_BITS = 24
 
 _PASS1 = (
     "doc_id long, n long, sig1 long, sig2 long, histogram array<int>, part int, counts binary"
@@ -238,6 +240,25 @@ class _Join:
         """Texts of the given (doc_id, sig1); the ids are the hashed side, texts stream past unsorted."""
         return self.texts.join(ids.hint("shuffle_hash"), "doc_id").select("doc_id", "sig1", "text")
 
+    def _sieved(self, ids: DataFrame) -> _Join:
+        """The same join over a part of the texts: all of the given ids, and those that share a bit with one.
+
+        The table has a fixed size. Of a corpus with far more ids than bits it lets everything pass, and the result is the same.
+        """
+        bit = f"pmod(xxhash64(doc_id), {1 << SIEVE_BITS}L)"
+        words = ids.select(F.expr(bit).alias("bit")).groupBy(F.expr("bit div 64").alias("id")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("word")
+        )
+        every = ids.sparkSession.range(1 << (SIEVE_BITS - 6)).join(words, "id", "left")
+        placed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0)).alias("word"))))
+        table = materialize(every.agg(F.transform(placed, lambda x: x["word"]).alias("words")), "sieve")
+        passes = F.expr(
+            f"(shiftright(element_at(words, cast({bit} div 64 as int) + 1), cast({bit} % 64 as int)) & 1) = 1"
+        )
+        # One row beside each text.
+        texts = self.texts.join(F.broadcast(table), passes, "left_semi")
+        return _Join(texts, self.k, self.percent, self.hot, self.meeting)
+
     def _postings(self, classes: DataFrame, ranks) -> DataFrame:
         ids = classes.select(F.col("rep").alias("doc_id"), "sig1")
         prefix = self._representatives(ids).mapInArrow(
@@ -328,9 +349,9 @@ class _Join:
         )
         near = materialize(near.select("a", "b", "na", "nb"), "candidates")
         ids = near.select(c("a").alias("rep")).union(near.select(c("b").alias("rep"))).distinct()
-        wanted = classes.join(ids, "rep").select(c("rep").alias("doc_id"), "sig1").distinct()
+        wanted = materialize(classes.join(ids, "rep").select(c("rep").alias("doc_id"), "sig1").distinct(), "wanted")
         sets = materialize(
-            self._representatives(wanted).mapInArrow(_sets(self.k), "rep long, n int, shingles array<long>"), "sets"
+            self._sieved(wanted)._representatives(wanted).mapInArrow(_sets(self.k), "rep long, n int, shingles array<long>"), "sets"
         )
         of = lambda s: sets.select(c("rep").alias(s), c("n").alias(f"n{s}"), c("shingles").alias(f"s{s}"))
         both = near.join(of("a"), ["a", "na"]).join(of("b"), ["b", "nb"])
