@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.jaccard_join import jaccard_components
 from ledgerlens.llm.queries import TOXIC_FROM, mixture
-from ledgerlens.llm.rows import bound_batches
 from ledgerlens.llm.secret_scan import scan_secrets
 from ledgerlens.llm.toxicity import score_toxicity
-from ledgerlens.session import materialize
+from ledgerlens.session import bound_batches, materialize
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,9 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import bound_batches, materialize
 from .components import components
-from .rows import bound_batches
 from .textkernel import documents_words, mix, short_window, utf8, windows
 
 RANK_BITS = 20

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from .hashed_features import (
     LogisticModel,
     Rows,
@@ -30,7 +31,7 @@ from .hashed_features import (
     sample_labelled,
     sparse_word_features,
 )
-from .rows import Carried, bound_batches
+from .rows import Carried
 from .textkernel import utf8
 
 BITS = 18

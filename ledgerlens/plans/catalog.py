@@ -498,25 +498,41 @@ def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state_columns(jobs.run_to_table(going_on, "from-history", source=path))
 
 
-def _by_days(spark: SparkSession, tx: DataFrame) -> DataFrame:
-    """Messages with their ``transaction_id`` and the five days they are of."""
-    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
-    return texts.join(tx.select("transaction_id", F.expr("tx_time_days div 5").alias("part")), "transaction_id")
+#: The days of a part of the messages that are sent in order.
+PART = "tx_time_days div 5 as part"
+
+
+def _by_days(tx: DataFrame) -> DataFrame:
+    """Messages and the five days they are of."""
+    return messages.encode(tx, F.expr(PART)).select("value", "part")
 
 
 def stream_expiring_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``expiring_features`` from a stream in order of days, whose keys are forgotten after a day."""
-    stream, path = _stream_in_order(spark, materialize(_by_days(spark, transactions(spark, sf_dir)), "sent"))
+    stream, path = _stream_in_order(spark, _by_days(transactions(spark, sf_dir)))
     table = jobs.run_to_table(state.transaction_state(stream, REMEMBERED_MS, delay="1 hour"), "expiring", source=path)
     return _state_columns(table).drop("var_pop_tx_amount_customer", "var_pop_tx_amount_terminal")
 
 
-def _stream_in_order(spark: SparkSession, sent: DataFrame) -> tuple[DataFrame, str]:
-    """Usable messages of a written table ``(value, part)``, a micro-batch for each part, and their folder."""
-    path = scratch_path(spark, "messages")
-    for number in range(sent.agg(F.max("part")).first()[0] + 1):
-        sent.where(F.col("part") == number).select("value").coalesce(1).write.mode("append").text(path)
-    return messages.usable(messages.decode(messages.read_message_files(jobs.state_session(spark), path, max_files=1))), path
+def _stream_in_order(spark: SparkSession, messages_by_part: DataFrame) -> tuple[DataFrame, str]:
+    """Usable messages of ``(value, part)``, a micro-batch for each part, and their folder.
+
+    A micro-batch is a number of files, so all parts have as many: one for each bucket of messages, or a single one if a
+    small part lacks a bucket.
+    """
+    path, written = scratch_path(spark, "messages"), scratch_path(spark, "sent")
+    messages_by_part.write.partitionBy("part").parquet(written)
+    sent = spark.read.schema("value string, part long").parquet(written)
+    files = spark.sparkContext.defaultParallelism
+    bucket = F.pmod(F.xxhash64("value"), F.lit(files)).cast("int")
+    parts = sent.where("part is not null").groupBy("part").agg(F.count_distinct(bucket).alias("buckets")).orderBy("part").collect()
+    if any(p["buckets"] < files for p in parts):
+        files = 1
+    for p in parts:
+        rows = sent.where(F.col("part") == p["part"])
+        dealt = rows.coalesce(1) if files == 1 else rows.repartitionById(files, bucket)
+        dealt.select("value").write.mode("append").text(path)
+    return messages.usable(messages.decode(messages.read_message_files(jobs.state_session(spark), path, max_files=files))), path
 
 
 def stream_hot_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -524,7 +540,7 @@ def stream_hot_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir).withColumn(
         "terminal_id", F.when(F.col("transaction_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("terminal_id"))
     )
-    stream, path = _stream_in_order(spark, materialize(_by_days(spark, tx), "sent"))
+    stream, path = _stream_in_order(spark, _by_days(tx))
     few = state.Buffer(rows=20, seconds=1800)
     return _state_columns(jobs.run_to_table(state.terminal_state(stream, delay="1 hour", buffer=few), "hot", source=path))
 
@@ -534,10 +550,10 @@ def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Answers are released in several micro-batches, most copies come after their answer. ``repeats`` counts the copies.
     """
-    sent = _by_days(spark, transactions(spark, sf_dir)).withColumn("copied", F.col("transaction_id") % 7 == 0)
-    every = materialize(
-        sent.select("value", "part").unionByName(sent.where("copied").select("value", (F.col("part") + 2).alias("part"))), "sent"
-    )
+    tx = transactions(spark, sf_dir)
+    texts = messages.encode(tx).select(F.col("key").cast("bigint").alias("transaction_id"), "value")
+    sent = texts.join(tx.select("transaction_id", F.expr(PART)), "transaction_id").withColumn("copied", F.col("transaction_id") % 7 == 0)
+    every = sent.select("value", "part").unionByName(sent.where("copied").select("value", (F.col("part") + 2).alias("part")))
     stream, path = _stream_in_order(spark, every)
     kept = 60 * 86_400_000
     table = jobs.run_to_table(state.transaction_state(stream, delay="1 hour", remember_ms=kept), "repeats", source=path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import END_OF_INPUT, MESSAGE_TIMESTAMP, TOO_LATE, TRANSACTION_SCHEMA
@@ -10,10 +10,10 @@ from ..schemas import END_OF_INPUT, MESSAGE_TIMESTAMP, TOO_LATE, TRANSACTION_SCH
 _JSON = {"timestampFormat": MESSAGE_TIMESTAMP}
 
 
-def encode(df: DataFrame) -> DataFrame:
-    """``(key, value)`` messages."""
+def encode(df: DataFrame, *beside: Column) -> DataFrame:
+    """``(key, value)`` messages, and what else is asked for."""
     return df.select(
-        F.col("transaction_id").cast("string").alias("key"), F.to_json(F.struct("*"), _JSON).alias("value")
+        F.col("transaction_id").cast("string").alias("key"), F.to_json(F.struct("*"), _JSON).alias("value"), *beside
     )
 
 

@@ -1,7 +1,9 @@
 import json
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from helpers import START, by_id, close, tx_frame
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlens.adapters import broken_messages, message_files, transactions
 from ledgerlens.operators import sampling, windows
 from ledgerlens.operators.features import transaction_features
-from ledgerlens.plans import modeling
+from ledgerlens.plans import catalog, modeling
 from ledgerlens.session import materialize, scratch_path
 from ledgerlens.streaming import jobs, messages, state
 
@@ -232,3 +234,35 @@ def test_kafka_source_and_sink_are_only_options(spark):
 
 def test_fixture_starts_where_the_tests_think():
     assert START == datetime(2024, 1, 1)
+
+
+def test_parts_are_sent_by_all_cores_and_a_micro_batch_each(spark):
+    """A gap between parts; then a part too small for a file of every core."""
+    cores = spark.sparkContext.defaultParallelism
+    for sizes, files in (({0: 400, 2: 400}, cores), ({0: 400, 3: 1}, 1)):
+        rows = [(message(1000 * p + i, f"10:{i // 60 % 60:02}:{i % 60:02}"), p) for p, n in sizes.items() for i in range(n)]
+        stream, path = catalog._stream_in_order(spark, spark.createDataFrame([*rows, ("x", None)], "value string, part long"))
+        written = [f for f in Path(path.removeprefix("file:")).iterdir() if f.name.startswith("part-")]
+        assert len(written) == files * len(sizes)
+        assert jobs.run_to_table(stream, "sent").count() == len(rows)
+        written.sort(key=lambda f: f.stat().st_mtime_ns)
+        batches = [written[i : i + files] for i in range(0, len(written), files)]
+        found = [{json.loads(line)["transaction_id"] // 1000 for f in b for line in f.read_text().split()} for b in batches]
+        assert found == [{p} for p in sizes]
+
+
+def test_rows_are_packed_by_share():
+    schema = pa.schema([("transaction_id", pa.int64()), ("tx_datetime", pa.timestamp("us")), ("note", pa.string())])
+    rows = [(i % 3 - 1, i, 1_000_000 * i, None if i % 5 == 0 else f"n{i}") for i in range(25_000)]
+    zoned = pa.schema([("_share", pa.int64()), schema.field(0), ("tx_datetime", pa.timestamp("us", "Europe/Paris")), schema.field(2)])
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), zoned)], schema=zoned)
+    out = list(state._packing(schema)(iter([table.to_batches()[0].slice(0, 0), *table.to_batches(1000)])))
+    assert [b.column("_share").to_pylist() for b in out] == [[-1, 0, 1]]
+    found = []
+    for share, chunk in zip(out[0].column("_share").to_pylist(), out[0].column("rows").to_pylist()):
+        batch = pa.ipc.read_record_batch(pa.py_buffer(chunk), schema)
+        assert batch.num_rows <= 10_000
+        found += [(share, r["transaction_id"], r["tx_datetime"], r["note"]) for r in batch.to_pylist()]
+    clock = datetime(1970, 1, 1, 1)
+    assert sorted(found, key=lambda r: r[1]) == [(s, i, clock + timedelta(microseconds=t), n) for s, i, t, n in rows]
+    assert list(state._packing(schema)(iter([]))) == []
