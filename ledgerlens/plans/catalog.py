@@ -584,13 +584,13 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Models
 
 
-def _features_and_training(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    table = materialize(features.transaction_features(transactions(spark, sf_dir), complete=False), "features")
+def _features_and_training(tx: DataFrame) -> tuple[DataFrame, DataFrame]:
+    table = materialize(features.transaction_features(tx, complete=False), "features")
     return table, sampling.split(table.dropna(subset=features.FEATURES))[0]
 
 
 def _batch_scores(spark: SparkSession, sf_dir: str, classifier) -> DataFrame:
-    table, training = _features_and_training(spark, sf_dir)
+    table, training = _features_and_training(transactions(spark, sf_dir))
     return modeling.predictions(modeling.fit(training, classifier), table)
 
 
@@ -603,9 +603,10 @@ def logistic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, training = _features_and_training(spark, sf_dir)
+    tx = materialize(transactions(spark, sf_dir), "transactions")
+    _, training = _features_and_training(tx)
     model = modeling.fit(training, modeling.forest())
-    lines = messages.encode(transactions(spark, sf_dir)).select("value")
+    lines = messages.encode(tx).select("value")
     stream, path = _message_stream(spark, lines)
     scored = jobs.scored_messages(stream, model, delay=ANY_ORDER)
     return jobs.run_to_table(scored, "scored", source=path).select("transaction_id", "prediction", "probability", "unscored")
@@ -613,7 +614,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assembled_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vector that the classifier gets, as columns: the fitted assembler and scaler over all complete rows."""
-    table, training = _features_and_training(spark, sf_dir)
+    table, training = _features_and_training(transactions(spark, sf_dir))
     model = modeling.fit(training, modeling.logistic(1))
     scaled = table.dropna(subset=features.FEATURES)
     for stage in model.stages[:2]:
@@ -624,7 +625,7 @@ def assembled_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logistic_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At the optimum without penalty, scores weigh every feature over the training rows as the labels do."""
-    _, training = _features_and_training(spark, sf_dir)
+    _, training = _features_and_training(transactions(spark, sf_dir))
     model = modeling.fit(training, modeling.logistic().setTol(1e-12))
     scored = model.transform(training)
     score, values = vector_to_array("probability")[1], vector_to_array("scaled")
@@ -634,7 +635,7 @@ def logistic_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forest_scores_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction: whether it has a score, whether the stored forest gives the same and cuts at a half."""
-    table, training = _features_and_training(spark, sf_dir)
+    table, training = _features_and_training(transactions(spark, sf_dir))
     model = modeling.fit(training, modeling.forest())
     path = scratch_path(spark, "forest")
     modeling.save(model, path)
@@ -653,8 +654,8 @@ def forest_scores_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scores_as_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every transaction: whether it has a score, and whether stream and batch give the same."""
     tx = transactions(spark, sf_dir).withColumn("tx_datetime", F.date_trunc("second", "tx_datetime"))
-    table = materialize(features.transaction_features(tx, complete=False), "features")
-    training = sampling.split(table.dropna(subset=features.FEATURES))[0]
+    tx = materialize(tx, "transactions")
+    table, training = _features_and_training(tx)
     model = modeling.fit(training, modeling.logistic())
     stream, path = _message_stream(spark, messages.encode(tx).select("value"))
     online = jobs.run_to_table(jobs.scored_messages(stream, model, delay=ANY_ORDER), "scored", source=path)
