@@ -500,6 +500,8 @@ def stream_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The days of a part of the messages that are sent in order.
 PART = "tx_time_days div 5 as part"
+#: Parts of a longer time share micro-batches, each of which takes seconds, whatever it holds.
+MICRO_BATCHES = 32
 
 
 def _by_days(tx: DataFrame) -> DataFrame:
@@ -515,21 +517,24 @@ def stream_expiring_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_in_order(spark: SparkSession, messages_by_part: DataFrame) -> tuple[DataFrame, str]:
-    """Usable messages of ``(value, part)``, a micro-batch for each part, and their folder.
+    """Usable messages of ``(value, part)``, a micro-batch for each part, or for as many as leave ``MICRO_BATCHES``, and their folder.
 
-    A micro-batch is a number of files, so all parts have as many: one for each bucket of messages, or a single one if a
-    small part lacks a bucket.
+    A micro-batch is a number of files, so all have as many: one for each bucket of messages, or a single one if a
+    small micro-batch lacks a bucket.
     """
     path, written = scratch_path(spark, "messages"), scratch_path(spark, "sent")
-    messages_by_part.write.partitionBy("part").parquet(written)
-    sent = spark.read.schema("value string, part long").parquet(written)
+    first, last = messages_by_part.agg(F.min("part"), F.max("part")).first()
+    parts = -(-(last - first + 1) // MICRO_BATCHES)
+    steps = messages_by_part.where("part is not null").select("value", F.expr(f"(part - {first}L) div {parts}L as step"))
+    steps.write.partitionBy("step").parquet(written)
+    sent = spark.read.schema("value string, step long").parquet(written)
     files = spark.sparkContext.defaultParallelism
     bucket = F.pmod(F.xxhash64("value"), F.lit(files)).cast("int")
-    parts = sent.where("part is not null").groupBy("part").agg(F.count_distinct(bucket).alias("buckets")).orderBy("part").collect()
-    if any(p["buckets"] < files for p in parts):
+    dealt_to = sent.groupBy("step").agg(F.count_distinct(bucket).alias("buckets")).orderBy("step").collect()
+    if any(r["buckets"] < files for r in dealt_to):
         files = 1
-    for p in parts:
-        rows = sent.where(F.col("part") == p["part"])
+    for r in dealt_to:
+        rows = sent.where(F.col("step") == r["step"])
         dealt = rows.coalesce(1) if files == 1 else rows.repartitionById(files, bucket)
         dealt.select("value").write.mode("append").text(path)
     return messages.usable(messages.decode(messages.read_message_files(jobs.state_session(spark), path, max_files=files))), path

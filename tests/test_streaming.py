@@ -251,6 +251,15 @@ def test_parts_are_sent_by_all_cores_and_a_micro_batch_each(spark):
         assert found == [{p} for p in sizes]
 
 
+def test_a_long_time_takes_no_more_micro_batches(spark):
+    rows = [(message(p, "10:00:00"), p) for p in range(-1, 200)]
+    _, path = catalog._stream_in_order(spark, spark.createDataFrame(rows, "value string, part long"))
+    written = sorted(Path(path.removeprefix("file:")).glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    assert len(written) <= catalog.MICRO_BATCHES
+    found = [sorted(json.loads(line)["transaction_id"] for line in f.read_text().split()) for f in written]
+    assert sum(found, []) == list(range(-1, 200))
+
+
 def test_rows_are_packed_by_share():
     schema = pa.schema([("transaction_id", pa.int64()), ("tx_datetime", pa.timestamp("us")), ("note", pa.string())])
     rows = [(i % 3 - 1, i, 1_000_000 * i, None if i % 5 == 0 else f"n{i}") for i in range(25_000)]
