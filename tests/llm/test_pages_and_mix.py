@@ -79,6 +79,49 @@ def test_repeated_runs_go_and_unique_runs_stay(spark):
     assert found[9].startswith("home news") and found[9].endswith("\nalone")
 
 
+NOTICE = "this notice stands below every single story that we print here"
+
+
+def story(i, k=40):
+    return " ".join(f"s{i}x{j}" for j in range(k))
+
+
+def test_host_array_judges_articles(spark):
+    def page(i, host, text):
+        return (i, f"http://{host}/{i}", f"<nav>menu</nav><article><h1>head {i}</h1><p>{text}</p><p>{NOTICE}</p></article>")
+
+    rows = [page(i, "a.example", story(i)) for i in range(12)]  # a notice of one host
+    rows += [page(20 + i, "few.example", story(20 + i)) for i in range(4)]  # too few pages to tell
+    rows += [page(30 + i, "copies.example", story(30)) for i in range(9)]  # copies of one text stay
+    quoted = [(40 + i, f"http://q.example/{i}", f"<article><p>{story(40 + i)}</p>" + (f"<p>{NOTICE}</p>" if i < 4 else "") + "</article>") for i in range(8)]
+    rows += quoted + quoted[:3] * 5  # on most rows, but on four different articles
+    df = spark.createDataFrame(rows, PAGE).repartition(5)
+    found = {r["page_id"]: r["text"] for r in extract_text(df).collect()}
+    assert extract_text(df).count() == len(rows)
+    assert all(found[i] == f"head {i}\n{story(i)}" for i in range(12))
+    assert all(found[i] == f"head {i}\n{story(i)}\n{NOTICE}" for i in range(20, 24))
+    assert all(found[i] == f"head {i}\n{story(30)}\n{NOTICE}" for i in range(30, 39))
+    assert all(found[i].split("\n")[1:] == ([NOTICE] if i < 44 else []) for i in range(40, 48))
+
+
+def test_majority_runs_by_brute_force():
+    import numpy as np
+
+    from ledgerlens.llm.html_extract import _majority_runs
+    from ledgerlens.llm.textkernel import windows
+
+    draw = np.random.default_rng(3)
+    hosts = [("a", "b", "c")[i % 3] for i in range(20)]
+    streams = [draw.integers(10 * (i % 3), 10 * (i % 3) + 3, 40).astype(np.uint64) for i in range(20)]
+    for depth in (2, 3, 4):
+        runs, few = _majority_runs(hosts, streams, depth, 7)
+        want = set()
+        for host in "ab":
+            sets = [set(windows(s, depth).tolist()) for h, s in zip(hosts, streams) if h == host]
+            want |= {r for r in set().union(*sets) if 2 * sum(r in x for x in sets) > len(sets)}
+        assert few == {"c"} and set(runs.tolist()) == want and len(runs) == len(want) > 0
+
+
 def test_awkward_pages(spark):
     rows = [(1, None, None), (2, "http://[", ""), (3, "u", "<p>a &lt; b</p><p"), (4, "u", "plain"), (4, "u", "plain"), (None, "u", "<nav>x</nav>"), (5, "u", "<p>x " * 20_000)]
     got = extract_text(spark.createDataFrame(rows, PAGE)).collect()
