@@ -29,7 +29,7 @@ from .textkernel import grouped, utf8
 
 #: The id that ends every document.
 END_ID = 0
-#: Words whose ids a task remembers; beyond, it starts over.
+#: Words whose ids a Python worker remembers; beyond, it starts over.
 KNOWN_WORDS = 600_000
 #: Longer words that are not plain ASCII are cut, too, where the tokenizer cuts in any case.
 LONG_WORD = 1 << 16
@@ -38,6 +38,15 @@ GROUP_BYTES = 4 << 20
 #: Words are encoded in groups of about so many, in one string.
 TOGETHER = 200
 _CERTAIN_CUT = re.compile(rb"(?<=[0-9])(?=[!-~])|(?<=[A-Za-z])(?=[!-@\[-`{-~])")
+#: The same where letters of Latin-1 (U+00C0 to U+00FF) may stand: whole code points, composed, each with one lower case.
+_LATIN = re.compile(rb"(?:[\x00-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_LATIN_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_LATIN_CUT = re.compile(
+    rb"(?<=[0-9])(?=[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+    rb"|(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))(?=[!-@\[-`{-~])"
+)
+#: A byte-level vocabulary writes bytes of these letters as Latin-1, but for three.
+_BYTE_LEVEL = (("\x9f", "\u0141"), ("\xa0", "\u0142"), ("\xad", "\u0143"))
 
 
 # tokens ------------------------------------------------------------------------------------------------------
@@ -52,7 +61,7 @@ class WordEncoder:
     """Token ids of texts by a word tokenizer: lower case, white space dropped, no piece across white space, word ends marked.
 
     Each word between ASCII blanks is encoded once and remembered. Where letters or digits meet ASCII punctuation the
-    tokenizer's rule cuts in any case; plain lower-case words need nothing but its merges.
+    tokenizer's rule cuts in any case; lower-case words of ASCII and Latin-1 letters need nothing but its merges.
     """
 
     def __init__(self, definition: str):
@@ -62,6 +71,7 @@ class WordEncoder:
         self.whole = Tokenizer.from_str(definition)
         parts = json.loads(definition)
         suffix = parts["model"]["end_of_word_suffix"]
+        self.byte_level = '"ByteLevel"' in json.dumps(parts["pre_tokenizer"])
         merges_only = {**parts, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
         self.plain = Tokenizer.from_str(json.dumps(merges_only))
         vocabulary = parts["model"]["vocab"]
@@ -75,7 +85,9 @@ class WordEncoder:
         self.known.update(zip(words, [data[a:b] for a, b in zip([0, *cuts], cuts)]))
 
     def _encode_plain(self, words: list[bytes]) -> None:
-        groups = [b" ".join(words[i : i + TOGETHER]).decode() for i in range(0, len(words), TOGETHER)]
+        groups = [b" ".join(words[i : i + TOGETHER]).decode("latin-1") for i in range(0, len(words), TOGETHER)]
+        for byte, written in _BYTE_LEVEL:
+            groups = [g.replace(byte, written) for g in groups]
         found = self.plain.encode_batch_fast(groups, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in found] or [np.empty(0, np.uint32)])
         self._remember(words, ids, np.flatnonzero(self.ends_word[ids]) + 1)
@@ -91,14 +103,17 @@ class WordEncoder:
             self._remember(words[i : i + TOGETHER], np.array(found.ids, np.uint32), np.searchsorted(at, ends))
 
     def _learn(self, new: set[bytes]) -> None:
+        latin = _LATIN_LETTERS.fullmatch if self.byte_level else lambda word: False
+        letters = [w for w in new if w.isalpha() and w.islower() or latin(w)]
+        new = new.difference(letters)
         # A reserved token is told from plain text by its case and its punctuation.
-        plain = [w for w in new if w.isascii() and b"<|" not in w]
+        plain = [w for w in new if b"<|" not in w and (w.isascii() or (self.byte_level and _LATIN.fullmatch(w)))]
         other = list(new.difference(plain))
-        together = _CERTAIN_CUT.sub(b" ", b"\n".join(plain).lower())
-        need = set(together.split()).difference(self.known)
-        letters = [p for p in need if p.isalpha()]
-        self._encode_plain(letters)
-        self._encode_any(list(need.difference(letters)))
+        together = _LATIN_CUT.sub(b" ", b"\n".join(plain).decode().lower().encode())
+        need = set(together.split()).difference(self.known, letters)
+        more = [p for p in need if p.isalpha() or latin(p)]
+        self._encode_plain(letters + more)
+        self._encode_any(list(need.difference(more)))
         known, long = self.known, [w for w in other if len(w) > LONG_WORD and b"<|" not in w]
         for word, parts in zip(plain, together.split(b"\n")):
             ids = known.get(parts)
@@ -119,9 +134,20 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, x)) for x in words]
 
 
+_WORKER: dict[str, WordEncoder] = {}
+
+
+def _encoder(definition: str) -> WordEncoder:
+    """The worker's encoder, with the words that its earlier tasks have met."""
+    if definition not in _WORKER:
+        _WORKER.clear()
+        _WORKER[definition] = WordEncoder(definition)
+    return _WORKER[definition]
+
+
 def _token_pieces(definition, capacity: int, keep_ids: bool):
     def run(batches):
-        encoder = WordEncoder(definition.value)
+        encoder = _encoder(definition.value)
         for batch in batches:
             texts = utf8(batch.column("text"))
             for lo, hi in grouped(texts, GROUP_BYTES):
