@@ -10,6 +10,7 @@ Words (a space and what follows up to the next one) are encoded apart, so a coun
 
 from __future__ import annotations
 
+import math
 from pathlib import Path
 
 import ahocorasick
@@ -21,7 +22,7 @@ from .rows import row_type, rows_and_text
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words remembered in each Python worker; longer words are counted anew each time.
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
 CACHED_LENGTH = 64
 
 
@@ -34,6 +35,21 @@ def read_vocabulary(path: str) -> list[tuple[str, float]]:
     return [(p.piece, p.score) for p in model.pieces if p.type == pb.ModelProto.SentencePiece.NORMAL]
 
 
+class _Known(dict):
+    """Counts by word; one that is asked for and not there is counted."""
+
+    def __init__(self, count):
+        self._count = count
+
+    def __missing__(self, word: str) -> int:
+        n = self._count(SPACE + word)
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = n
+        return n
+
+
 class UnigramCounter:
     def __init__(self, vocabulary: list[tuple[str, float]]):
         self._automaton = ahocorasick.Automaton()
@@ -43,27 +59,30 @@ class UnigramCounter:
         self._unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
         self._longest = max(len(piece) for piece, _ in vocabulary)
         self._single = {piece for piece, _ in vocabulary if len(piece) == 1}
-        self._words: dict[str, int] = {}
+        self._words = _Known(self._count_word)
 
     def count(self, text: str) -> int:
         """Pieces of the best segmentation of a whole text; an empty text has none."""
         if not text:
             return 0
-        total, known = 0, self._words
         if SPACE in text:
             text = text.replace(SPACE, " ")
-        for word in text[text.startswith(" ") :].split(" "):
-            n = known.get(word)
-            if n is None:
-                n = self._count_word(SPACE + word)
-                if len(word) <= CACHED_LENGTH:
-                    if len(known) >= CACHED_WORDS:
-                        known.clear()
-                    known[word] = n
-            total += n
-        return total
+        return sum(map(self._words.__getitem__, text[text.startswith(" ") :].split(" ")))
 
     def _count_word(self, word: str) -> int:
+        if len(word) > 2 * CACHED_LENGTH or not self._single.issuperset(word):
+            return self._count_any(word)
+        # Every character is a piece, so each position is reached, and matches come by end, longest first.
+        score, pieces = [0.0] + [-math.inf] * len(word), [0] * (len(word) + 1)
+        for end, (length, gain) in self._automaton.iter(word):
+            end += 1
+            gain += score[end - length]
+            if gain > score[end]:
+                score[end] = gain
+                pieces[end] = pieces[end - length] + 1
+        return pieces[-1]
+
+    def _count_any(self, word: str) -> int:
         """Only the last ``longest`` positions are kept, so a word of any length needs constant memory."""
         keep = self._longest + 1
         score, pieces = [0.0] * keep, [0] * keep

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -168,6 +169,17 @@ def test_token_ties_and_unknown():
         assert counter.count(text) == (len(exact.encode(text).ids) if text else 0), text
 
 
+def test_short_words_by_the_plain_loop():
+    draw = random.Random(2)
+    vocabulary = [(c, -draw.random()) for c in "▁abc"] + [("".join(draw.choices("abc", k=k)), -draw.randrange(1, 4) / 2) for k in (2, 2, 2, 3, 3, 4)]
+    counter = UnigramCounter(vocabulary)
+    asked, count_any = [], counter._count_any
+    counter._count_any = lambda word: (asked.append(word), count_any(word))[1]
+    words = ["".join(draw.choices("abc", k=draw.randrange(12))) for _ in range(500)]
+    assert [counter.count("a " + w) - counter.count("a ") for w in words] == [count_any("▁" + w) - count_any("▁") for w in words]
+    assert not asked and counter.count("ad") and counter.count("a" * 200) and asked == ["▁ad", "▁" + "a" * 200]
+
+
 def test_an_empty_vocabulary_is_refused(spark):
     with pytest.raises(ValueError, match="no pieces"):
         count_tokens(awkward(spark), [])
