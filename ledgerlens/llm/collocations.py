@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textkernel import grouped, inside_table, mix, utf8, windows, word_hashes
+from .textkernel import CHUNK_BYTES, grouped, inside_table, mix, utf8, windows, word_hashes
 
 #: What ends a piece, and what separates words inside a piece.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -58,7 +58,7 @@ def _by_language(batches):
             if text:
                 texts.setdefault(lang, []).append(text)
         for lang, own in texts.items():
-            for lo, hi in grouped(own):
+            for lo, hi in grouped(own, CHUNK_BYTES):
                 yield lang, b"\n".join(own[lo:hi]).lower()
 
 

@@ -12,6 +12,8 @@ from functools import lru_cache
 import numpy as np
 
 CHUNK_BYTES = 1 << 20
+#: Texts are hashed together up to so many bytes; working off a group takes some fifty times as much.
+GROUP_BYTES = 1 << 18
 _MASK = 2**64 - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _DRAWS = np.random.default_rng(20240611)
@@ -42,7 +44,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def ladder(base: int) -> np.ndarray:
         out = np.full(n, base, dtype=np.uint64)
@@ -52,13 +53,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return ladder(_BASE), ladder(pow(_BASE, -1, 2**64))
 
 
+#: What a worker keeps: a group's powers and those of twice the size, 13 MB; those of longer texts are built for each.
+_kept_powers = lru_cache(maxsize=2)(_powers)
+
+
 class Hashes:
     """Hashes of any slice of ``data`` in constant time each, from one running sum."""
 
     def __init__(self, data: bytes):
         self.codes = np.frombuffer(data, dtype=np.uint8)
-        size = 1 << max(20, len(data).bit_length())
-        up, self._down = _powers(size + 1)
+        size = max(GROUP_BYTES, 1 << len(data).bit_length())
+        up, self._down = (_kept_powers if size <= 2 * GROUP_BYTES else _powers)(size + 1)
         self._sum = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(_BYTE_VALUE[self.codes] * up[: len(data)], out=self._sum[1:])
 
@@ -119,7 +124,7 @@ def word_hashes(data: bytes, inside: np.ndarray = IN_WORD) -> tuple[np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def grouped(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+def grouped(texts: list[bytes], limit: int = GROUP_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of neighbouring texts that hold about ``limit`` bytes together."""
     start = size = 0
     for i, text in enumerate(texts):

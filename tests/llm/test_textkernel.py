@@ -32,3 +32,13 @@ def test_an_unbroken_word_takes_bounded_memory():
         assert peak < 300_000_000
     h, s, e = word_hashes(text + b" y")
     assert (s.tolist(), e.tolist()) == ([0, 50_000_001], [50_000_000, 50_000_002])
+
+
+def test_groups_of_texts_take_bounded_memory():
+    texts = [f"{i} ".encode() + b"some words of a text " * 500 for i in range(200)]
+    tracemalloc.start()
+    found = [h[lo:hi].sum() for _, _, h, _, _, _, at in textkernel.documents_words(texts) for lo, hi in zip(at[:-1], at[1:])]
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [word_hashes(t)[0].sum() for t in texts]
+    assert kept < 15_000_000 and peak < 40_000_000
