@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -154,16 +156,16 @@ def collect_vectors(sampled: DataFrame, vector) -> list[dict]:
                 )
 
     rows = sampled.select("text", F.col("doc_id").cast("long"), F.col("label").cast("long"), F.col("of_class").cast("long"))
-    found = rows.mapInArrow(run, "doc_id long, label long, of_class long, index binary, value binary").collect()
-    return [
-        {
-            "doc_id": r["doc_id"],
-            "label": r["label"],
-            "of_class": r["of_class"],
-            "vector": (np.frombuffer(r["index"], np.int32), np.frombuffer(r["value"], np.float32)),
-        }
-        for r in sorted(found, key=lambda r: (r["doc_id"], bytes(r["index"])))
+    # As Arrow, whose buffers the vectors look into: neither the driver's JVM nor its Python makes rows of them.
+    found = rows.mapInArrow(run, "doc_id long, label long, of_class long, index binary, value binary").toArrow()
+    of_row = zip(*[found.column(c).to_pylist() for c in ("doc_id", "label", "of_class")])
+    views = [(np.frombuffer(i.as_buffer(), np.int32), np.frombuffer(v.as_buffer(), np.float32)) for i, v in zip(found["index"], found["value"])]
+    vectors = [
+        {"doc_id": doc_id, "label": label, "of_class": of_class, "vector": view}
+        for (doc_id, label, of_class), view in zip(of_row, views)
     ]
+    times = Counter(r["doc_id"] for r in vectors)
+    return sorted(vectors, key=lambda r: (r["doc_id"], r["vector"][0].tobytes() if times[r["doc_id"]] > 1 else b""))
 
 
 def prior_weights(found: list[dict]) -> np.ndarray:

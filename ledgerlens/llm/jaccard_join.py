@@ -211,10 +211,13 @@ class _Join:
         )
         ranks = self.texts.sparkSession.sparkContext.broadcast(_shingle_counts(profile))
         postings = self._postings(classes, ranks)
+        ranks.destroy()  # the postings are written
         links = self._verified(self._star_pairs(postings), classes)
         first = components(links, "a", "b")
         rest = self._verified(self._cross_pairs(postings, first), classes)
-        every = links.select("a", "b").union(rest.select("a", "b")).union(self._shared_ids(docs, classes))
+        # The components found say what the links said, and are stars already.
+        stars = first.selectExpr("node as a", "component as b")
+        every = stars.union(rest.select("a", "b")).union(self._shared_ids(docs, classes))
         found = components(every, "a", "b")
         joined = classes.drop("histogram").join(found.withColumnRenamed("node", "rep"), "rep", "left")
         joined = joined.select("n", "sig1", "sig2", F.coalesce("component", "rep").alias("component_id"))
@@ -347,6 +350,8 @@ class _Join:
             F.lit(100 + self.percent) * (c("na") + c("nb") - apart) >= 2 * self._needed(c("na"), c("nb"))
         )
         near = materialize(near.select("a", "b", "na", "nb"), "candidates")
+        if near.isEmpty():
+            return near.select("a", "b")
         ids = near.select(c("a").alias("rep")).union(near.select(c("b").alias("rep"))).distinct()
         wanted = materialize(classes.join(ids, "rep").select(c("rep").alias("doc_id"), "sig1").distinct(), "wanted")
         sets = materialize(

@@ -136,7 +136,8 @@ class LabelModel:
 
     def _groups(self, votes: np.ndarray, posterior: np.ndarray, least: float) -> np.ndarray:
         """Each voter joins the first voter, by number of votes, that it is correlated with given the class."""
-        rest = votes - np.outer(posterior, self.toxic) - np.outer(1 - posterior, self.clean)
+        rest = votes - np.outer(posterior, self.toxic)
+        rest -= np.outer(1 - posterior, self.clean)
         scale = np.sqrt((rest**2).sum(axis=0)) + 1e-9
         self.correlation = (rest.T @ rest) / np.outer(scale, scale)
         group = np.full(votes.shape[1], -1)
@@ -197,15 +198,24 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, allowed: Column, per
     labels_ = np.array([r["label"] for r in found], dtype=float)
     if not lexicon or not labels_.any():
         return LogisticModel(np.zeros(1 << BITS), -500.0)
-    votes = np.array([votes_by_id[r["doc_id"]] for r in found], dtype=float)
-    model = LabelModel(votes, votes.any(axis=1).astype(float))
-    target = model.posterior(votes)
+    target = _learned_labels(found, votes_by_id)
     told = _telling_slots([r["vector"] for r in found], target)
-    vectors = [(i[told[i]], v[told[i]]) for i, v in (r["vector"] for r in found)]
-    rows = lambda keep: Rows([v for v, k in zip(vectors, keep) if k], 1 << BITS)
+    kept = np.flatnonzero(told)
+    for r in found:  # what does not tell is let go; the fit has the other slots only
+        i, v = r["vector"]
+        r["vector"] = np.searchsorted(kept, i[told[i]]), v[told[i]]
+    rows = lambda keep: Rows([r["vector"] for r, k in zip(found, keep) if k], len(kept))
     fold = np.arange(len(found)) % 3 != 0
     classifier = fit_logistic(rows(fold), target[fold], np.ones(int(fold.sum())), l2=1e-3)
-    return calibrate(classifier, rows(~fold), labels_[~fold], prior_weights(found)[~fold])
+    model = calibrate(classifier, rows(~fold), labels_[~fold], prior_weights(found)[~fold])
+    weights = np.zeros(1 << BITS)
+    weights[kept] = model.weights
+    return LogisticModel(weights, model.bias, model.scale, model.shift)
+
+
+def _learned_labels(found: list[dict], votes_by_id: dict[int, np.ndarray]) -> np.ndarray:
+    votes = np.array([votes_by_id[r["doc_id"]] for r in found], dtype=float)
+    return LabelModel(votes, votes.any(axis=1).astype(float)).posterior(votes)
 
 
 def _telling_slots(vectors: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray) -> np.ndarray:

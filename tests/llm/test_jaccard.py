@@ -4,6 +4,8 @@ from collections import defaultdict
 import pytest
 from helpers_llm import awkward, empty, words
 
+from ledgerlens.llm import components as components_module
+from ledgerlens.llm import jaccard_join
 from ledgerlens.llm.components import components
 from ledgerlens.llm.jaccard_join import jaccard_components
 
@@ -129,3 +131,42 @@ def test_components_of_a_long_chain(spark):
     for r in components(edges, "a", "b").collect():
         found[r["component"]].add(r["node"])
     assert found == {0: set(range(201)), 500: {500, 501}}
+
+
+def counting(monkeypatch, module):
+    """Names of what the module writes from now on."""
+    names, write = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: names.append(name) or write(df, name))
+    return names
+
+
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    """Every round is some two thousand tasks that the driver keeps account of."""
+    written = counting(monkeypatch, components_module)
+    edges = spark.createDataFrame([(1, 2), (3, 1), (1, 3), (7, 9), (8, 7), (4, 4), (None, 5)], "a long, b long")
+    assert {tuple(r) for r in components(edges, "a", "b").collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 7)}
+    assert len(written) == 1
+    assert components(edges.limit(0), "a", "b").isEmpty()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_of_random_links(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
+    group = {i: {i} for pair in links for i in pair if pair[0] != pair[1]}
+    for a, b in links:
+        if a != b and group[a] is not group[b]:
+            group[a] |= group[b]
+            group.update(dict.fromkeys(group[b], group[a]))
+    found = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
+    assert sorted(map(tuple, found)) == sorted((i, min(g)) for i, g in group.items())
+
+
+def test_what_no_pair_asks_for_is_not_made(spark, monkeypatch):
+    """The found components are not found again, and without pairs across them nothing is verified again."""
+    base = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, f"{base} a"), (2, f"{base} b"), (3, f"{base} c"), (4, "another text of some six words")]
+    joined, starred = counting(monkeypatch, jaccard_join), counting(monkeypatch, components_module)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert joined.count("candidates") == 2 and joined.count("sets") == 1
+    assert len(starred) <= 3  # of the links: stars at once or after a round; of those stars: at once

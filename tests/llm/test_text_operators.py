@@ -3,15 +3,18 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers_llm import awkward, empty, words
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import queries
 from ledgerlens.llm.decontaminate import decontaminate
+from ledgerlens.llm.hashed_features import collect_vectors
 from ledgerlens.llm.langid import identify_languages, train_languages
 from ledgerlens.llm.quality_rules import quality_rules, train_quality
 from ledgerlens.llm.secret_scan import find_secrets, scan_secrets
@@ -257,3 +260,26 @@ def test_languages_awkward(spark):
     assert rows[4][0] == "en" and rows[6][0] == "de"
     nothing = train_languages(empty(spark), F.lit(True))
     assert {r["lang_pred"] for r in identify_languages(docs, nothing).collect()} == {"und"}
+
+
+def test_vectors_reach_the_driver_without_copies(spark):
+    """8 MB of vectors, two of them of one id: they are views of what has come, in order of id, then of index."""
+    rows = [(max(39 - i, 1), f"{i}", i % 2, 20) for i in range(40)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int, of_class int")
+    vector = lambda text: (np.arange(25_000) + int(text), np.full(25_000, int(text), np.float32))
+    tracemalloc.start()
+    try:
+        found = collect_vectors(sample, vector)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10e6  # 8 MB and a little
+    order = lambda row: (row[0], int(row[1]))  # noqa: E731  the little-endian bytes of 38 and 39 are in their order
+    assert len(found) == len(rows)
+    for (doc_id, text, label, of_class), r in zip(sorted(rows, key=order), found):
+        assert (r["doc_id"], r["label"], r["of_class"]) == (doc_id, label, of_class)
+        index, value = r["vector"]
+        assert index.dtype == np.int32 and value.dtype == np.float32
+        assert (index == vector(text)[0]).all() and (value == vector(text)[1]).all()
+    assert [len(x) for r in collect_vectors(sample.limit(1), lambda text: vector(text)[:0] + (np.empty(0, np.int64), np.empty(0))) for x in r["vector"]] == [0, 0]
+    assert collect_vectors(sample.limit(0), vector) == []
